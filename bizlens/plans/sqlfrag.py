@@ -133,3 +133,78 @@ def bucket_label(b: str, grain: str) -> str:
     if grain == "M":
         return f"({month_abbr(f'month({b})')} || '/' || CAST(year({b}) AS VARCHAR))"
     return f"strftime({b}, '%d/%m')"
+
+
+# ---------------------------------------------------------------------------------------------- cleaning (SQL side)
+NUMERIC_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
+def safe_double(x: str) -> str:
+    return f"(CASE WHEN regexp_matches({x}, '{NUMERIC_RE}') THEN TRY_CAST({x} AS DOUBLE) END)"
+
+
+def clean_currency(x: str) -> str:
+    s = f"trim({x})"
+    body = f"replace(replace(regexp_replace({s}, '[R$%\\s()]', '', 'g'), '.', ''), ',', '.')"
+    v = safe_double(body)
+    return f"(CASE WHEN {s} LIKE '(%' AND {s} LIKE '%)' THEN -{v} ELSE {v} END)"
+
+
+def clean_date(x: str) -> str:
+    return (f"(CASE WHEN regexp_matches({x}, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}$') "
+            f"THEN CAST(try_strptime({x}, '%d/%m/%Y') AS DATE) END)")
+
+
+def lenient_date(x: str) -> str:
+    iso = (f"(CASE WHEN regexp_matches({x}, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}$') "
+           f"THEN CAST(try_strptime({x}, '%Y-%m-%d') AS DATE) END)")
+    return f"COALESCE({clean_date(x)}, {iso})"
+
+
+def hours_decimal(x: str) -> str:
+    s = f"trim({x})"
+    parts = f"string_split({s}, ':')"
+    h, m = safe_double(f"trim({parts}[1])"), safe_double(f"trim({parts}[2])")
+    return (f"COALESCE(CASE WHEN len({parts}) >= 2 THEN {h} + {m} / 60.0 ELSE {safe_double(s)} END, 0.0)")
+
+
+def clean_phone(x: str) -> str:
+    d = f"regexp_replace({x}, '\\D', '', 'g')"
+    return f"(CASE WHEN length({d}) >= 8 THEN {d} END)"
+
+
+def clean_email(x: str) -> str:
+    e = f"lower(trim({x}))"
+    return f"(CASE WHEN {e} IN ('', 'nan', 'none') THEN NULL ELSE {e} END)"
+
+
+def clean_name(x: str, default: str = "NAO IDENTIFICADO") -> str:
+    n = f"trim(regexp_replace(upper(trim({x})), '\\.+$', ''))"
+    return f"(CASE WHEN {n} IS NULL OR {n} IN ('', 'NAN', 'NONE') THEN '{default}' ELSE {n} END)"
+
+
+def clean_text_field(x: str) -> str:
+    return f"upper(trim(COALESCE({x}, 'NÃO INFORMADO')))"
+
+
+def clean_cpf(x: str) -> str:
+    c = f"regexp_replace(trim(COALESCE({x}, '')), '[.-]', '', 'g')"
+    return f"(CASE WHEN {c} IN ('', 'nan', 'None') THEN 'NÃO INFORMADO' ELSE {c} END)"
+
+
+def generate_id(x: str) -> str:
+    return f"(CASE WHEN {x} IS NULL OR {x} = '' OR {x} = 'NÃO INFORMADO' THEN 'UNKNOWN' ELSE md5({x}) END)"
+
+
+def int_coerce(x: str) -> str:
+    return f"COALESCE(TRY_CAST(trunc({safe_double(f'trim({x})')}) AS BIGINT), 0)"
+
+
+def text_default(x: str, default: str = "Não Informado") -> str:
+    t = f"trim({x})"
+    return f"(CASE WHEN {t} IS NULL OR {t} = '' THEN '{default}' ELSE {t} END)"
+
+
+def default_if(x: str, default: str, literals: tuple[str, ...]) -> str:
+    lits = ", ".join(f"'{v}'" for v in literals)
+    return f"(CASE WHEN {x} IS NULL OR {x} IN ({lits}) THEN '{default}' ELSE {x} END)"
