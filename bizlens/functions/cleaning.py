@@ -30,21 +30,29 @@ NULL_LITERALS_LOWER = ("", "nan", "none")
 NULL_LITERALS_TITLE = ("", "Nan", "None")
 
 # A plain decimal number as Python's float() reads it (no inf/nan: documented deviation).
-_NUMERIC = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-# Unicode-aware leading/trailing whitespace, as Python's str.strip().
-_EDGE_SPACE = r"(?U)^\s+|\s+$"
+_NUMERIC_CAPTURE = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)$"
+# Caseless control character used as a temporary word boundary by title_case.
+_TITLE_MARK = "\u0001"
+# Text that is wrapped in parentheses once stripped (accounting negative).
+_PARENTHESISED = r"(?Us)^\s*\(.*\)\s*$"
+# The characters Python's str.strip() removes (str.isspace), as one trim set.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                 "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 # ---------------------------------------------------------------------------------------------- text basics
 def py_strip(c) -> Column:
-    """Python ``str.strip()``: removes all Unicode whitespace, unlike SQL ``trim``."""
-    return F.regexp_replace(col_of(c), _EDGE_SPACE, "")
+    """Python ``str.strip()``: removes all Unicode whitespace (plain ``trim`` removes only spaces)."""
+    return F.trim(col_of(c), F.lit(PY_WHITESPACE))
 
 
 def safe_double(c) -> Column:
-    """String -> double only when it is a plain number; anything else -> null (never raises)."""
-    c = col_of(c)
-    return F.when(c.rlike(_NUMERIC), c.try_cast("double"))
+    """String -> double only when it is a plain number; anything else -> null (never raises).
+
+    The anchored extract yields '' for a non-number (and ``try_cast('')`` is null), so the input is referenced
+    once and no CASE branch re-evaluates it.
+    """
+    return F.regexp_extract(col_of(c), _NUMERIC_CAPTURE, 1).try_cast("double")
 
 
 def nullif_literals(c, literals=NULL_LITERALS_LOWER) -> Column:
@@ -58,13 +66,16 @@ def default_if(c, default: str, literals) -> Column:
 
 
 def title_case(c) -> Column:
-    """Python ``str.title()``: upper the first letter of every run of letters, lower the rest.
+    """Python ``str.title()``: the first letter after any non-letter is title-cased, all other letters lowered.
 
-    ``initcap`` only splits on spaces; this splits on any non-letter (``D'Avila``, ``Pé+Mão``).
+    ``initcap`` alone only starts words after spaces (wrong for ``D'Avila``, ``Pé+Mão``). Here every non-letter is
+    followed by a caseless marker and a space, ``initcap`` runs, and the marker pairs are removed again. The
+    removal is exact for any input: each inserted pair sits right after its own non-letter, so a left-to-right
+    match of marker+space only ever hits inserted pairs. Plain expressions only (no lambda), so it stays in
+    generated code and repeated uses are shared by subexpression elimination.
     """
-    parts = F.regexp_extract_all(col_of(c), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    cased = F.transform(parts, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1 << 30))))
-    return F.array_join(cased, "")
+    marked = F.regexp_replace(col_of(c), r"(\P{L})", "$1" + _TITLE_MARK + " ")
+    return F.regexp_replace(F.initcap(marked), _TITLE_MARK + " ", "")
 
 
 def normalized_key(c) -> Column:
@@ -99,14 +110,15 @@ def clean_currency(c) -> Column:
     """pt-BR money text -> double.
 
     strip; ``(x)`` marks a negative; drop ``R $ % whitespace ( )``; every ``.`` is a thousands separator
-    (so ``10.5`` -> 105); ``,`` is the decimal mark; invalid -> null. Date/number inputs pass through.
+    (so ``10.5`` -> 105); ``,`` is the decimal mark; invalid -> null.
+
+    Each intermediate is referenced once (sign from one regex on the raw text, separators swapped by one
+    ``translate``, validation + cast by one anchored extract), so no regex runs twice per row.
     """
-    s = py_strip(col_of(c).cast("string"))
-    negative = s.startswith("(") & s.endswith(")")
-    body = F.regexp_replace(s, r"(?U)[R$%\s()]", "")
-    body = F.regexp_replace(F.regexp_replace(body, r"\.", ""), ",", ".")
-    value = safe_double(body)
-    return F.when(negative, -value).otherwise(value)
+    text = col_of(c).cast("string")
+    sign = F.when(text.rlike(_PARENTHESISED), F.lit(-1.0)).otherwise(F.lit(1.0))
+    body = F.translate(F.regexp_replace(text, r"(?U)[R$%\s()]", ""), ",.", ".")
+    return safe_double(body) * sign
 
 
 # ---------------------------------------------------------------------------------------------- B3 / B19 dates
@@ -154,7 +166,7 @@ def generate_id(c) -> Column:
 # ---------------------------------------------------------------------------------------------- B8-B10 keys
 def ticket_key(number, day) -> Column:
     """Ticket key of the sales table: md5(number || yyyy-MM-dd), null date -> 1900-01-01."""
-    day_text = F.coalesce(F.date_format(col_of(day), "yyyy-MM-dd"), F.lit("1900-01-01"))
+    day_text = F.coalesce(F.to_date(col_of(day)).cast("string"), F.lit("1900-01-01"))
     return F.md5(F.concat(col_of(number).cast("string"), day_text))
 
 
