@@ -16,15 +16,16 @@ from bizlens.sources import bindings as B
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.spread = spread
 
     # ------------------------------------------------------------------ tables
     @cached_property
     def sales(self) -> DataFrame:
         """tbl_0186_comandas (+ line identity columns used as a total order)."""
-        return B.sales_lines(self.spark, self.sf_dir)
+        return B.sales_lines(self.spark, self.sf_dir, spread=self.spread)
 
     @cached_property
     def professionals(self) -> DataFrame:

@@ -24,10 +24,11 @@ RATE = "decimal(4,2)"
 SALES_ROW_ORDER = ("data", "comanda", "l_linenumber", "l_partkey", "l_suppkey", "valor")
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V: one row per ticket line. Columns of the sales table plus the line identity."""
+def sales_lines(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """V: one row per ticket line. Columns of the sales table plus the line identity. ``spread`` widens an
+    under-split line scan for queries that do heavy work on every line."""
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                                 "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+                                                 "l_quantity", "l_extendedprice", "l_discount", "l_tax"], spread=spread)
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
     s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
