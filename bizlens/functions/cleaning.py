@@ -100,9 +100,10 @@ def clean_column_name(name) -> str:
 
 
 def sanitize_columns(df, renames: dict | None = None):
-    """Rename every column with :func:`clean_column_name`; ``renames`` applies first (raw header -> name)."""
+    """Rename every column with :func:`clean_column_name`; ``renames`` applies first (raw header -> name).
+    Internal columns (leading ``_``, such as the row position) pass through unchanged."""
     renames = renames or {}
-    return df.toDF(*[renames.get(c) or clean_column_name(c) for c in df.columns])
+    return df.toDF(*[c if c.startswith("_") else (renames.get(c) or clean_column_name(c)) for c in df.columns])
 
 
 # ---------------------------------------------------------------------------------------------- B2 currency

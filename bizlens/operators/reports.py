@@ -28,6 +28,20 @@ def period_slice(df: DataFrame, date_col: str, start: dt.date, end: dt.date) ->
     return df.where(F.col(date_col).between(F.lit(start), F.lit(end)))
 
 
+def shared_slice(df: DataFrame, date_col: str, start: dt.date, end: dt.date) -> DataFrame:
+    """The period slice persisted once (memory, spilling to disk) for the KPIs and charts that all read it;
+    call ``unpersist()`` when the report is done."""
+    from pyspark import StorageLevel
+
+    return period_slice(df, date_col, start, end).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def query_period(spark, view: str, columns: str, start: dt.date, end: dt.date, date_col: str = "data"):
+    """Period query over a registered view with bound parameters (no values formatted into the SQL text)."""
+    return spark.sql(f"SELECT {columns} FROM {view} WHERE {date_col} BETWEEN :inicio AND :fim",
+                     args={"inicio": start, "fim": end})
+
+
 def sales_slice(sales_fact: DataFrame, start: dt.date, end: dt.date, title_names: bool = True) -> DataFrame:
     """Current-period sales lines with ``valor > 0``; display names title-cased as the dashboard shows them."""
     s = period_slice(sales_fact, "data", start, end).where(F.col("valor") > 0)

@@ -35,6 +35,8 @@ STATUS_INACTIVE = "Inativo"
 ROLE_HISTORICAL = "Histórico"
 
 PL_VALUE = "decimal(38,4)"
+FEE_FACT_SCHEMA = ("data_competencia date, bandeira string, valor_faturado double, valor_liquido double, "
+                   "valor_taxa double")
 
 
 def _not_blank(c: str) -> Column:
@@ -190,7 +192,9 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[st
     t = tables
     views: dict[str, DataFrame] = {}
     if "tbl_0186_comandas" in t:
-        views["fct_vendas"] = fct_vendas(t["tbl_0186_comandas"])
+        sales = t["tbl_0186_comandas"]
+        order = ["data", "comanda"] + [c for c in ("_arquivo", "_linha") if c in sales.columns]
+        views["fct_vendas"] = fct_vendas(sales, order)
         views["dim_servicos"] = dim_servicos(t["tbl_0186_comandas"])
         if "tbl_0229_profissionais" in t:
             views["dim_profissionais"] = dim_profissionais(t["tbl_0229_profissionais"], t["tbl_0186_comandas"])
@@ -205,9 +209,11 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[st
         views["int_financeiro_competencia"] = int_financeiro_competencia(t["tbl_0387_financeiro"],
                                                                          t["tbl_dim_categorias"])
         views["int_financeiro_caixa"] = int_financeiro_caixa(t["tbl_0387_financeiro"], t["tbl_dim_categorias"])
-        if "fct_vendas" in views and "fct_taxas_cartao" in views:
+        if "fct_vendas" in views:
+            # a month without card-fee extracts contributes no fee lines (schema-stable empty input)
+            fees = views.get("fct_taxas_cartao") or spark.createDataFrame([], FEE_FACT_SCHEMA)
             views["rep_financeiro_competencia"] = rep_financeiro_competencia(
-                t["tbl_0387_financeiro"], t["tbl_dim_categorias"], views["fct_vendas"], views["fct_taxas_cartao"])
+                t["tbl_0387_financeiro"], t["tbl_dim_categorias"], views["fct_vendas"], fees)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views
