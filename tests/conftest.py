@@ -15,7 +15,8 @@ def spark():
 
     ckpt = tempfile.mkdtemp(prefix="bizlens-test-ckpt-")
     s = build_session("local[4]", app="bizlens-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g",
+                             "spark.sql.warehouse.dir": os.path.join(ckpt, "warehouse")})
     yield s
     s.stop()
 

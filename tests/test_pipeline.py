@@ -79,3 +79,17 @@ def test_windows_and_month_injection(spark):
     assert LD.apply_window(df, "d", *LD.report_window(F.lit(JAN), "sem_data")).count() == 1
     assert LD.with_month(df, dt.date(2024, 2, 17)).collect()[0]["data_competencia"] == FEB
     assert D.granularity(JAN, dt.date(2024, 3, 1)) == "D"
+
+
+def test_database_and_catalog_tables(spark):
+    from bizlens.sources import sinks as SK
+
+    CAT.use_database(spark, "bizlens_test")
+    try:
+        df = spark.createDataFrame([(1, "a")], "id int, v string")
+        SK.replace(df, "tbl_t", as_table=True)
+        SK.append(df.select("v", "id"), "tbl_t", as_table=True)       # appended by name, not by position
+        assert sorted(tuple(r) for r in spark.table("tbl_t").collect()) == [(1, "a"), (1, "a")]
+        assert CAT.existing_tables(spark, ["tbl_t", "tbl_missing"]) == ["tbl_t"]
+    finally:
+        spark.catalog.setCurrentDatabase("default")
