@@ -20,13 +20,14 @@ def desc_last(c) -> Column:
     return col_of(c).desc_nulls_last()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
     """Broadcast hint only after proving the frame holds at most ``max_rows`` rows.
 
-    The proof reads at most ``max_rows + 1`` rows; a larger frame is returned unhinted so the planner (and AQE at
-    run time) picks a shuffle join instead.
+    The proof reads at most ``max_rows + 1`` rows of ``bound_by`` (a frame at least as large as ``df``, e.g. the
+    input of a deduplication; default ``df`` itself); a larger frame is returned unhinted so the planner (and AQE
+    at run time) picks a shuffle join instead.
     """
-    n = df.limit(max_rows + 1).count()
+    n = (bound_by if bound_by is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -98,13 +99,19 @@ def signed_split(df: DataFrame, keys: list, value: str) -> DataFrame:
         F.coalesce(F.sum(v), F.lit(0)).alias("lucro_liquido"))
 
 
-def gap_fill(agg: DataFrame, bucket_col: str, step: Column, zero_cols: list[str]) -> DataFrame:
+def gap_fill(agg: DataFrame, bucket_col: str, step: Column, zero_cols: list[str],
+             keep_if: Column | None = None) -> DataFrame:
     """Every bucket between the first and last one present, missing buckets filled with 0.
 
     ``agg`` is already one row per bucket; the spine is built from its min/max with ``sequence`` + ``explode``
-    and left-joined back, so both sides are bounded by the number of buckets.
+    and left-joined back, so both sides are bounded by the number of buckets. ``keep_if`` is an aggregate
+    condition over ``agg`` evaluated in the same one-row bounds aggregate; when false the spine (and so the
+    result) is empty, without a second pass over the input.
     """
-    bounds = agg.agg(F.min(bucket_col).alias("lo"), F.max(bucket_col).alias("hi"))
+    bounds = agg.agg(F.min(bucket_col).alias("lo"), F.max(bucket_col).alias("hi"),
+                     *([keep_if.alias("_keep")] if keep_if is not None else []))
+    if keep_if is not None:
+        bounds = bounds.where(F.coalesce(F.col("_keep"), F.lit(False)))
     spine = bounds.select(F.explode(F.sequence("lo", "hi", step)).alias(bucket_col))
     filled = spine.join(agg, bucket_col, "left")
     return filled.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(agg.schema[c].dataType)) for c in zero_cols})

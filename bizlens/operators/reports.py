@@ -57,9 +57,9 @@ def financial_evolution(pl_slice: DataFrame, start: dt.date, end: dt.date) -> Da
     grain = D.granularity(start, end)
     split = FR.signed_split(pl_slice.withColumn("_b", D.bucket("data", grain)).where(F.col("_b").isNotNull()),
                             ["_b"], "valor")
-    filled = FR.gap_fill(split, "_b", D.bucket_step(grain), ["receitas", "despesas", "lucro_liquido"])
-    activity = filled.select(F.sum(F.col("receitas") + F.col("despesas"))).scalar()
-    filled = filled.where(F.coalesce(activity, F.lit(0)) != 0)
+    # empty when the period has neither revenue nor expenses (checked inside the one-row bounds aggregate)
+    filled = FR.gap_fill(split, "_b", D.bucket_step(grain), ["receitas", "despesas", "lucro_liquido"],
+                         keep_if=F.sum(F.col("receitas") + F.col("despesas")) != 0)
     long = filled.select(
         F.col("_b").alias("Data_Sort"), D.bucket_label("_b", grain).alias("Data_Formatada"),
         F.col("receitas").cast("double").alias(EVOLUTION_SERIES[0]),

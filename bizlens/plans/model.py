@@ -130,7 +130,7 @@ def _with_levels(ledger_table: DataFrame, seed: DataFrame) -> DataFrame:
     the ledger is never shuffled for this join.
     """
     dim = (seed.select(C.normalized_key("categoria").alias("_cat"), "nivel_1", "nivel_2", "excluir_dre"))
-    dim = FR.bounded_broadcast(FR.unique_on(dim, ["_cat"]))
+    dim = FR.bounded_broadcast(FR.unique_on(dim, ["_cat"]), bound_by=seed)
     return (ledger_table.withColumn("_cat", C.normalized_key("categoria"))
             .join(dim, "_cat", "left").drop("_cat"))
 

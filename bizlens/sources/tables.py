@@ -22,10 +22,13 @@ def table_path(sf_dir: str, name: str) -> str:
 def needs_spread(scan: DataFrame) -> bool:
     """True when a file scan is large but has fewer input splits than the default parallelism (plan metadata
     only: the size estimate and the split count come from the planner, no job runs)."""
-    qe = scan._jdf.queryExecution()
-    if int(str(qe.optimizedPlan().stats().sizeInBytes())) < SPREAD_MIN_BYTES:
+    try:
+        qe = scan._jdf.queryExecution()
+        if int(str(qe.optimizedPlan().stats().sizeInBytes())) < SPREAD_MIN_BYTES:
+            return False
+        return qe.executedPlan().execute().getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no plan handle (e.g. a remote session): keep the scan as it is
         return False
-    return qe.executedPlan().execute().getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
