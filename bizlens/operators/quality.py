@@ -27,8 +27,8 @@ def orphan_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, ch
 def duplicate_members(dim: DataFrame, name_col: str, check: str) -> DataFrame:
     """Names that appear under more than one key in a dimension (e.g. two unknown members)."""
     per_name = dim.groupBy(name_col).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-    return per_name.agg(F.count(F.lit(1)).cast("bigint").alias("nomes_duplicados")) \
-        .select(F.lit(check).alias("checagem"), "nomes_duplicados", (F.col("nomes_duplicados") == 0).alias("ok"))
+    return per_name.agg(F.count(F.lit(1)).cast("bigint").alias("violacoes")) \
+        .select(F.lit(check).alias("checagem"), "violacoes", (F.col("violacoes") == 0).alias("ok"))
 
 
 def sign_conventions(pl: DataFrame, revenue_groups: list[str], cost_groups: list[str]) -> DataFrame:
