@@ -27,7 +27,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound_b
     input of a deduplication; default ``df`` itself); a larger frame is returned unhinted so the planner (and AQE
     at run time) picks a shuffle join instead.
     """
-    n = (bound_by if bound_by is not None else df).limit(max_rows + 1).count()
+    proof = bound_by if bound_by is not None else df
+    n = proof.__dict__.get("_bizlens_rows_upto")            # remembered per frame (frames are immutable)
+    if n is None or n > max_rows + 1:
+        n = proof.limit(max_rows + 1).count()
+        proof.__dict__["_bizlens_rows_upto"] = n
     return F.broadcast(df) if n <= max_rows else df
 
 

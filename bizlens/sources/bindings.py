@@ -99,8 +99,11 @@ CATEGORY_SEED_SCHEMA = "categoria string, nivel_1 string, nivel_2 string, exclui
 
 
 def category_seed(spark: SparkSession) -> DataFrame:
-    """S: the category seed dimension (a handful of configuration rows)."""
-    return spark.createDataFrame(CATEGORY_SEED_ROWS, CATEGORY_SEED_SCHEMA)
+    """S: the category seed dimension (a handful of configuration rows), built once per session."""
+    cache = spark.__dict__.setdefault("_bizlens_scans", {})
+    if "category_seed" not in cache:
+        cache["category_seed"] = spark.createDataFrame(CATEGORY_SEED_ROWS, CATEGORY_SEED_SCHEMA)
+    return cache["category_seed"]
 
 
 def card_fees(spark: SparkSession, sf_dir: str) -> DataFrame:

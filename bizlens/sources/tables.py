@@ -31,12 +31,25 @@ def needs_spread(scan: DataFrame) -> bool:
         return False
 
 
+def table_scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The scan DataFrame of an input table, created once per session and path (the inputs are read-only).
+
+    Only the logical plan is kept (file listing and footer schema), no data; reusing it saves the listing and
+    analysis on every query that reads the table.
+    """
+    cache = spark.__dict__.setdefault("_bizlens_scans", {})
+    path = table_path(sf_dir, name)
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
                spread: bool = False) -> DataFrame:
     """Scan one table (pruned to ``columns``). With ``spread``, for queries that do heavy per-row work (text
     parsing, hashing every line), a large but under-split file is spread round-robin after the pruned scan, so
     filters and column pruning still reach the Parquet reader."""
-    scan = spark.read.parquet(table_path(sf_dir, name))
+    scan = table_scan(spark, sf_dir, name)
     df = scan.select(*columns) if columns else scan
     if spread and needs_spread(scan):
         return df.repartition(spark.sparkContext.defaultParallelism)
