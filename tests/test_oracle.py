@@ -44,9 +44,17 @@ def test_entry_smoke(spark):
     assert df.columns[:2] == ["ordem", "periodo"] and df.count() == 3
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, small_dir, duck, name):
     sdf = E.queries()[name](spark, small_dir)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(sdf.columns) == sorted(rel.columns)
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    for c, t in sdf.dtypes:
+        assert SPARK_TO_DUCK.get(t, t) == duck_types[c] or (t.startswith("decimal") and
+                                                            duck_types[c].startswith("DECIMAL")), (c, t)
     assert _rows(sdf.columns, sdf.collect()) == _rows(rel.columns, rel.fetchall())
