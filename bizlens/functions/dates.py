@@ -72,8 +72,8 @@ def periods_frame(spark: SparkSession, periods: list[Period]) -> DataFrame:
 def period_tags(day, periods: list[Period]) -> Column:
     """Array of the names of the periods containing ``day`` (periods may overlap)."""
     d = col_of(day)
-    return F.filter(F.array(*[F.when(d.between(F.lit(p.start), F.lit(p.end)), F.lit(p.name)) for p in periods]),
-                    lambda x: x.isNotNull())
+    return F.array_compact(F.array(*[F.when(d.between(F.lit(p.start), F.lit(p.end)), F.lit(p.name))
+                                     for p in periods]))
 
 
 def any_period(day, periods: list[Period]) -> Column:
