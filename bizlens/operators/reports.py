@@ -23,9 +23,16 @@ EXCLUDED_EXPENSE_TERMS = ["COMISSÃO", "COMISSAO", "TAXA", "IMPOSTO"]
 TOP_N = 10
 
 
+MONTH_COL = "_mes"
+
+
 def period_slice(df: DataFrame, date_col: str, start: dt.date, end: dt.date) -> DataFrame:
-    """Inclusive date range (pushed down to the scan through the view chain)."""
-    return df.where(F.col(date_col).between(F.lit(start), F.lit(end)))
+    """Inclusive date range (pushed down to the scan through the view chain). On month-partitioned facts the
+    matching month range is added, so only the period's month folders are listed and read."""
+    out = df.where(F.col(date_col).between(F.lit(start), F.lit(end)))
+    if MONTH_COL in df.columns:
+        out = out.where(F.col(MONTH_COL).between(F.lit(start.replace(day=1)), F.lit(end.replace(day=1))))
+    return out
 
 
 def shared_slice(df: DataFrame, date_col: str, start: dt.date, end: dt.date) -> DataFrame:

@@ -35,6 +35,8 @@ STATUS_INACTIVE = "Inativo"
 ROLE_HISTORICAL = "Histórico"
 
 PL_VALUE = "decimal(38,4)"
+# Month partition column of the fact tables written by the pipeline (carried through the views when present).
+MONTH_COL = "_mes"
 FEE_FACT_SCHEMA = ("data_competencia date, bandeira string, valor_faturado double, valor_liquido double, "
                    "valor_taxa double")
 
@@ -104,7 +106,7 @@ def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True) -
     base = sales.select(
         *row_order,
         *[c for c in ("cliente", "profissional", "servico", "grupo_servico", "valor", "desconto", "comissao",
-                      "custo", "liquido") if c not in row_order],
+                      "custo", "liquido", MONTH_COL) if c not in row_order and c in sales.columns],
     ).withColumn("id_comanda", C.visit_key("data", "comanda", "cliente")) \
      .withColumn("id_cliente", C.md5_key("cliente"))
     out_cols = [
@@ -112,7 +114,7 @@ def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True) -
         C.md5_key("profissional").alias("id_profissional"), "profissional", "servico", "grupo_servico",
         C.first_non_blank("grupo_servico", F.lit(CATEGORY_FALLBACK)).alias("categoria_servico"),
         "valor", "desconto", "comissao", "custo", "liquido",
-    ]
+    ] + ([MONTH_COL] if MONTH_COL in sales.columns else [])
     if not with_recurrence:
         return base.select(*out_cols)
     firsts = FR.first_per_key(base.select("id_cliente", *row_order), ["id_cliente"], row_order) \
@@ -138,7 +140,7 @@ def _with_levels(ledger_table: DataFrame, seed: DataFrame) -> DataFrame:
 def int_financeiro_competencia(ledger_table: DataFrame, seed: DataFrame) -> DataFrame:
     f = _with_levels(ledger_table.where(F.col("tipo") == "Competencia"), seed)
     return f.select("data_movimento", "categoria", "titulo", "fornecedor_cliente", "observacoes", "valor",
-                    "nivel_1", "nivel_2", "excluir_dre")
+                    "nivel_1", "nivel_2", "excluir_dre", *([MONTH_COL] if MONTH_COL in ledger_table.columns else []))
 
 
 def int_financeiro_caixa(ledger_table: DataFrame, seed: DataFrame) -> DataFrame:
@@ -151,9 +153,17 @@ def rep_financeiro_competencia(ledger_table: DataFrame, seed: DataFrame, sales_f
     """Unified P&L: ledger (4 groups in one scan) + commissions from sales + card fees.
 
     The four ledger branches of the statement read the same accrual ledger; here it is scanned once and the
-    group, sign and filter are CASE expressions over that scan.
+    group, sign and filter are CASE expressions over that scan. When the inputs are month-partitioned tables,
+    their partition column is carried as ``_mes`` so a period slice prunes whole month folders.
     """
     f = int_financeiro_competencia(ledger_table, seed)
+    with_month = MONTH_COL in f.columns or MONTH_COL in sales_fact.columns
+
+    def month(df: DataFrame, day: str) -> list[Column]:
+        if not with_month:
+            return []
+        return [F.col(MONTH_COL) if MONTH_COL in df.columns else F.trunc(day, "MM").alias(MONTH_COL)]
+
     lvl = F.col("nivel_1")
     group = (F.when(lvl == LEVEL_REVENUE, F.lit(GROUP_REVENUE))
               .when((lvl == LEVEL_VARIABLE_COSTS) & (C.normalized_key("categoria") != F.lit(COMMISSION_CATEGORY)),
@@ -166,16 +176,17 @@ def rep_financeiro_competencia(ledger_table: DataFrame, seed: DataFrame, sales_f
                    .select(F.col("data_movimento").alias("data"), "grupo_metrica", F.col("nivel_2").alias("subgrupo"),
                            value.alias("valor"), F.col("categoria").alias("categoria_detalhada"),
                            C.first_non_blank("titulo", "fornecedor_cliente", "observacoes", "categoria")
-                           .alias("descricao")))
+                           .alias("descricao"), *month(f, "data_movimento")))
     commissions = sales_fact.select(
         "data", F.lit(GROUP_COMMISSIONS).alias("grupo_metrica"), F.lit(COMMISSION_TEXT).alias("subgrupo"),
         (-F.col("comissao")).cast(PL_VALUE).alias("valor"), F.lit(COMMISSION_TEXT).alias("categoria_detalhada"),
         F.concat(F.lit(SALE_REFERENCE_PREFIX), F.col("comanda").cast("string"), F.lit(" - "),
-                 F.col("profissional")).alias("descricao"))
+                 F.col("profissional")).alias("descricao"), *month(sales_fact, "data"))
     fees = card_fee_fact.select(
         F.col("data_competencia").alias("data"), F.lit(GROUP_FEES).alias("grupo_metrica"),
         F.lit(FEES_TEXT).alias("subgrupo"), (-F.col("valor_taxa")).cast(PL_VALUE).alias("valor"),
-        F.lit(FEES_TEXT).alias("categoria_detalhada"), F.lit(FEES_DESCRIPTION).alias("descricao"))
+        F.lit(FEES_TEXT).alias("categoria_detalhada"), F.lit(FEES_DESCRIPTION).alias("descricao"),
+        *month(card_fee_fact, "data_competencia"))
     return ledger_part.unionByName(commissions).unionByName(fees)
 
 

@@ -33,11 +33,12 @@ def append(df: DataFrame, target: str, as_table: bool = False) -> None:
     df.write.mode("append").parquet(target)
 
 
-def replace_if_not_empty(df: DataFrame, target: str) -> bool:
+def replace_if_not_empty(df: DataFrame, target: str, partition_by: list[str] | None = None) -> bool:
     """Replace ``target`` only when ``df`` has rows. Returns whether the table was replaced.
 
     ``df`` is written once to a staging folder under the shared work folder; the emptiness test reads the staged
     files (footer metadata), and the swap copies staged files, so the upstream plan never runs twice.
+    ``partition_by`` lays the table out by those columns (e.g. month) so period queries prune whole folders.
     """
     spark: SparkSession = df.sparkSession
     staging = shared_path(spark, "staging")
@@ -45,5 +46,8 @@ def replace_if_not_empty(df: DataFrame, target: str) -> bool:
     staged = spark.read.parquet(staging)
     if staged.isEmpty():
         return False
-    staged.write.mode("overwrite").parquet(target)
+    w = staged.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(target)
     return True

@@ -93,3 +93,19 @@ def test_database_and_catalog_tables(spark):
         assert CAT.existing_tables(spark, ["tbl_t", "tbl_missing"]) == ["tbl_t"]
     finally:
         spark.catalog.setCurrentDatabase("default")
+
+
+def test_period_slice_prunes_month_partitions(spark):
+    landing, wh = shared_path(spark, "t-pl-landing2"), shared_path(spark, "t-pl-wh2")
+    _land(spark, landing)
+    PL.run(spark, landing, wh)
+    seed = spark.createDataFrame([("RECEITA", "1. Receita Bruta", "Serviços", False)],
+                                 "categoria string, nivel_1 string, nivel_2 string, excluir_dre boolean")
+    views = PL.publish_views(spark, wh, seed)
+    feb = RP.period_slice(views["fct_vendas"], "data", FEB, dt.date(2024, 2, 29))
+    plan = feb._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_mes" in plan and "2024-02-01" in plan
+    assert [r["data"] for r in feb.collect()] == [dt.date(2024, 2, 7)]
+    pl = RP.period_slice(views["rep_financeiro_competencia"], "data", JAN, dt.date(2024, 1, 31))
+    assert "PartitionFilters: [isnotnull(_mes" in pl._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["grupo_metrica"] for r in pl.collect()) == ["Comissões", "Comissões", "Receita Bruta"]
