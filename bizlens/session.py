@@ -50,8 +50,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="bizlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext handle only use the conf value
+        pass
     return current
 
 
