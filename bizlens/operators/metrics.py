@@ -19,15 +19,23 @@ from bizlens.plans import model as M
 CURRENT, PREVIOUS, YEAR_AGO = "atual", "anterior", "ano_anterior"
 
 
+def tag_periods(facts: DataFrame, date_col: str, periods: list[D.Period]) -> DataFrame:
+    """Facts dated inside any period, one row per (fact, containing period)."""
+    return (facts.where(D.any_period(date_col, periods))
+            .withColumn("periodo", F.explode(D.period_tags(date_col, periods))))
+
+
+def with_all_periods(spark: SparkSession, periods: list[D.Period], agg: DataFrame, zero: dict[str, object]) -> DataFrame:
+    """Left-join a per-period aggregate onto the periods table (a few rows, broadcast); missing -> ``zero``."""
+    out = D.periods_frame(spark, periods).join(F.broadcast(agg), "periodo", "left")
+    return out.withColumns({n: F.coalesce(F.col(n), F.lit(v).cast(agg.schema[n].dataType)) for n, v in zero.items()})
+
+
 def period_aggregate(spark: SparkSession, facts: DataFrame, date_col: str, periods: list[D.Period],
                      aggs: dict[str, Column], zero: dict[str, object]) -> DataFrame:
     """One row per period: ``aggs`` over the facts dated inside it; empty periods get ``zero`` values."""
-    tagged = (facts.where(D.any_period(date_col, periods))
-              .withColumn("periodo", F.explode(D.period_tags(date_col, periods))))
-    agg = tagged.groupBy("periodo").agg(*[c.alias(n) for n, c in aggs.items()])
-    frame = D.periods_frame(spark, periods)
-    out = frame.join(F.broadcast(agg), "periodo", "left")
-    return out.withColumns({n: F.coalesce(F.col(n), F.lit(zero[n]).cast(agg.schema[n].dataType)) for n in aggs})
+    agg = tag_periods(facts, date_col, periods).groupBy("periodo").agg(*[c.alias(n) for n, c in aggs.items()])
+    return with_all_periods(spark, periods, agg, zero)
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -43,10 +51,15 @@ def sales_kpis(spark: SparkSession, sales_fact: DataFrame, start: dt.date, end:
     ``valor > 0`` only; all zero for an empty period."""
     periods = D.comparison_periods(start, end)
     facts = sales_fact.where(F.col("valor") > 0).select("data", "id_comanda", "valor")
-    a = period_aggregate(spark, facts, "data", periods, {
-        "_fat": F.sum("valor"), "dias_com_venda": F.countDistinct("data"),
-        "atendimentos": F.countDistinct("id_comanda"), "itens": F.count(F.lit(1)),
-    }, {"_fat": 0, "dias_com_venda": 0, "atendimentos": 0, "itens": 0})
+    # A visit key belongs to one day, so distinct days and tickets come from staged pre-aggregation
+    # (ticket -> day -> period) instead of distinct aggregates that replicate every line before the shuffle.
+    tickets = tag_periods(facts, "data", periods).groupBy("periodo", "data", "id_comanda") \
+        .agg(F.sum("valor").alias("_v"), F.count(F.lit(1)).alias("_n"))
+    days = tickets.groupBy("periodo", "data").agg(F.sum("_v").alias("_v"), F.sum("_n").alias("_n"),
+                                                  F.count("id_comanda").alias("_t"))
+    per = days.groupBy("periodo").agg(F.sum("_v").alias("_fat"), F.count(F.lit(1)).alias("dias_com_venda"),
+                                      F.sum("_t").alias("atendimentos"), F.sum("_n").alias("itens"))
+    a = with_all_periods(spark, periods, per, {"_fat": 0, "dias_com_venda": 0, "atendimentos": 0, "itens": 0})
     fat = F.col("_fat").cast("double")
     return a.select(
         F.col("ordem").cast("bigint").alias("ordem"), "periodo", "inicio", "fim",

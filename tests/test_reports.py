@@ -56,3 +56,16 @@ def test_top_expenses_group_exclusion_keeps_null_groups(spark):
                                "categoria string, grupo_metrica string, valor decimal(38,4)")
     got = [(r["categoria"], r["valor_abs"]) for r in RP.top_expenses(pl).collect()]
     assert got == [("C", 7.0), ("A", 5.0)]
+
+
+def test_sales_kpis_staged_counts(spark):
+    from bizlens.operators import metrics as MT
+
+    facts = spark.createDataFrame([
+        (D1, "t1", Decimal("10")), (D1, "t1", Decimal("20")), (D1, "t2", Decimal("30")),
+        (D3, None, Decimal("5")), (D3, "t3", Decimal("-1")),
+    ], "data date, id_comanda string, valor decimal(18,2)")
+    k = {r["periodo"]: r for r in MT.sales_kpis(spark, facts, D1, dt.date(2024, 1, 31)).collect()}["atual"]
+    # 4 positive lines on 2 days, 2 distinct non-null tickets (null key excluded like nunique)
+    assert (k["faturamento"], k["dias_com_venda"], k["atendimentos"], k["itens"]) == (65.0, 2, 2, 4)
+    assert k["ticket_medio"] == 32.5 and k["itens_por_cesta"] == 2.0 and k["faturamento_medio_diario"] == 32.5
