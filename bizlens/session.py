@@ -23,6 +23,23 @@ DEFAULT_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a given input volume and cluster size.
+
+    The initial shuffle width gives ~``target_partition_bytes`` per partition for a shuffle as large as the input
+    (at least 2 waves of the cluster's cores); AQE then coalesces small partitions to the advisory size and splits
+    skewed ones. Scans split files at 256 MB so each task's input fits comfortably in executor memory.
+    e.g. 100 TB on 1000 executors x 8 cores -> ~400k shuffle partitions before coalescing.
+    """
+    width = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "bizlens", shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)

@@ -47,3 +47,11 @@ def py_hours(v):
 @given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789:.- x", max_size=9)), min_size=1, max_size=30))
 def test_hours_matches_python_model(spark, values):
     assert col_values(spark, C.hours_decimal, values) == [py_hours(v) for v in values]
+
+
+def test_scale_conf():
+    from bizlens.session import scale_conf
+
+    big = scale_conf(100 * 2**40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_conf(10**7, 8)["spark.sql.shuffle.partitions"]) == 16
