@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def orphan_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str, check: str) -> DataFrame:
+def orphan_keys(fact: DataFrame, fact_key, dim: DataFrame, dim_key: str, check: str,
+                weight: str | None = None) -> DataFrame:
     """Fact rows whose key has no dimension member (null keys count as orphans).
 
     The fact is first reduced to one row per key (partial aggregation, so a key holding a large share of the rows
     costs one row per map task), and only those per-key counts meet the dimension keys in a ``left_anti`` join.
+    ``weight`` names a row-count column when ``fact`` is already pre-aggregated; ``fact_key`` may be a Column.
     """
-    per_key = fact.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    per_key = fact.groupBy(key.alias("_k")).agg(n.alias("_n"))
     keys = dim.select(F.col(dim_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
     orphans = per_key.join(keys, "_k", "left_anti")
     o = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("linhas_orfas"),
