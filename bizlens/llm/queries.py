@@ -5,10 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import bpe, packing, token_files
+from bizlens.llm import bpe, packing, pii, quality, token_files
 from bizlens.llm.work import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+#: The key of the pseudonyms; a deployment sets its own.
+PII_KEY = "change-me"
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -20,9 +22,17 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir, "doc_id", "text"), WORD_BPE)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir, "doc_id", "text")).select(*quality.COLUMNS)
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(documents(spark, sf_dir, "doc_id", "text"), BYTE_BPE, end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_bpe_round_trip, op4_token_files)}
-ORACLE: dict[str, str] = {}
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, sf_dir, "doc_id", "text"), key=PII_KEY)
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_bpe_round_trip, op3_quality_rules, op4_token_files, op6_pii_pseudonyms)}
+ORACLE: dict[str, str] = {"op3_quality_rules": quality.SQL}
