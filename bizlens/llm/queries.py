@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bizlens.llm import bpe, packing, pii, quality, token_files
+from bizlens.llm import bpe, chat, licences, packing, pii, quality, sharding, token_files
 from bizlens.llm.work import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,9 +30,26 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_round_trip(documents(spark, sf_dir, "doc_id", "text"), BYTE_BPE, end_id=2)
 
 
+def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_turns(rows.unionByName(extra)))
+
+
 def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(documents(spark, sf_dir, "doc_id", "text"), key=PII_KEY)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_bpe_round_trip, op3_quality_rules, op4_token_files, op6_pii_pseudonyms)}
+def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(documents(spark, sf_dir, "doc_id", "text"), shards=16)
+
+
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir, "doc_id", "text")).select(*licences.COLUMNS)
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_bpe_round_trip, op3_quality_rules, op4_token_files,
+                                  op5_chat_round_trip, op6_pii_pseudonyms, op7_histogram_shards, op10_licence_scan)}
 ORACLE: dict[str, str] = {"op3_quality_rules": quality.SQL}
