@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bizlens.llm import bpe, chat, licences, packing, pii, quality, sharding, token_files
+from bizlens.llm import (bpe, chat, licences, packing, pii, quality, sharding, simhash, token_files,
+                         weighted_sampling)
 from bizlens.llm.work import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -46,10 +47,20 @@ def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(documents(spark, sf_dir, "doc_id", "text"), shards=16)
 
 
+def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), shingle=4, distance=4)
+    return rows.select("doc_id", simhash.shown(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.neighbours(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir, "doc_id", "text")).select(*licences.COLUMNS)
 
 
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_bpe_round_trip, op3_quality_rules, op4_token_files,
-                                  op5_chat_round_trip, op6_pii_pseudonyms, op7_histogram_shards, op10_licence_scan)}
+                                  op5_chat_round_trip, op6_pii_pseudonyms, op7_histogram_shards,
+                                  op8_simhash_near_duplicates, op9_weighted_sampling, op10_licence_scan)}
 ORACLE: dict[str, str] = {"op3_quality_rules": quality.SQL}
