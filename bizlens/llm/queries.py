@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,8 +11,6 @@ from bizlens.llm import (bpe, chat, licences, packing, pii, quality, sharding, s
 from bizlens.llm.work import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-#: The key of the pseudonyms; a deployment sets its own.
-PII_KEY = "change-me"
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -40,7 +39,7 @@ def op5_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(documents(spark, sf_dir, "doc_id", "text"), key=PII_KEY)
+    return pii.pseudonymise(documents(spark, sf_dir, "doc_id", "text"), key=corpus_pipeline.PII_KEY)
 
 
 def op7_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,4 +62,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_bpe_round_trip, op3_quality_rules, op4_token_files,
                                   op5_chat_round_trip, op6_pii_pseudonyms, op7_histogram_shards,
                                   op8_simhash_near_duplicates, op9_weighted_sampling, op10_licence_scan)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {"op3_quality_rules": quality.SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

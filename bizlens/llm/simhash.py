@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from bizlens.llm.components import components
 from bizlens.llm.work import written
@@ -51,17 +51,21 @@ def text_fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a signed 64-bit number."""
-    kind = docs.schema[id_col].dataType.simpleString()
+def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text",
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, carried columns): the fingerprint of each row as a signed 64-bit number."""
+    kept = docs.select(id_col, *carry).schema
+    names = [f"c{i}" for i in range(len(kept))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([text_fingerprint(t or "", shingle) for t in batch.column("t").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(fps.view(np.int64))], ["k", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps.view(np.int64))], [*names, "fp"])
 
-    out = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).mapInArrow(run, f"k {kind}, fp long")
-    return out.withColumnRenamed("k", id_col)
+    columns = [F.col(f.name).alias(n) for f, n in zip(kept, names, strict=True)]
+    out = docs.select(F.col(text_col).alias("t"), *columns).mapInArrow(run, ", ".join(
+        [f"{n} {f.dataType.simpleString()}" for f, n in zip(kept, names, strict=True)] + ["fp long"]))
+    return out.select(F.col("c0").alias(id_col), "fp", *[F.col(n).alias(c) for n, c in zip(names[1:], carry, strict=True)])
 
 
 def bit_counts(classes: DataFrame) -> tuple[int, np.ndarray]:
@@ -167,16 +171,29 @@ def _variants(value, masks: list[int], i: int):
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id): the smallest id reachable over links, the row's own included."""
-    rows = written(fingerprints(docs, shingle, id_col, text_col), "simhash-rows")
+                    text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, component_id, carried columns): the smallest id reachable over links, the row's own included."""
+    rows = written(fingerprints(docs, shingle, id_col, text_col, carry), "simhash-rows")
     classes = written(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-classes")
     roots = written(components(links(classes, distance)), "simhash-roots")
     labelled = classes.join(roots, classes["fp"] == roots["node"], "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = labelled.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(id_col, "fp", "component_id")
+    named = labelled.join(least, "root").select("fp", "component_id", "root")
+    return rows.join(named, "fp").select(id_col, "fp", "component_id", "root", *carry)
+
+
+def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row of smallest (doc_id, text hash) stays."""
+    text_hash = F.xxhash64("text")
+    found = near_duplicates(docs.select("doc_id", "text", text_hash.alias("_h")), shingle, distance, carry=("_h",))
+    kept = found.groupBy("root").agg(F.min(F.struct("doc_id", "_h")).alias("x")).select(
+        F.col("x.doc_id").alias("_id"), F.col("x._h").alias("_h"))
+    rows = docs.withColumn("_t", text_hash)
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_t"] == kept["_h"]), "left_semi")
+    # Repeated rows share id and text: one of them stays.
+    again = F.row_number().over(Window.partitionBy("doc_id", "_t").orderBy(F.lit(1)))
+    return rows.withColumn("_n", again).where("_n = 1").select(*docs.columns)
 
 
 def shown(fp):
