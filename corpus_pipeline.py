@@ -23,7 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     judged = quality.judge(docs.select(F.struct("*").alias("row"), "text"))
     fields = [F.col("cleaned").alias(c) if c == "text" else F.length("cleaned").cast("long").alias(c)
               if c == "n_chars" else F.col(f"row.{c}").alias(c) for c in docs.columns]
-    return judged.where("kept").select(*fields)
+    # Written before the filter: pushed below the rules' projections, the filter would repeat their expressions.
+    return written(judged.select(F.struct(*fields).alias("row"), "kept"), "quality-judged").where("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
