@@ -133,7 +133,7 @@ def allocate(n: int, together: np.ndarray, distance: int) -> list[tuple[list[int
             for used, (c, chosen) in cost.items():
                 for t in range(-1, distance - used + 1):
                     probes = sum(math.comb(len(bits), d) for d in range(t + 1))
-                    more = n * probes * PROBE_COST + (n * n * chance[t] * CANDIDATE_COST if t >= 0 else 0)
+                    more = (n + 1) * probes * PROBE_COST + (n * n * chance[t] * CANDIDATE_COST if t >= 0 else 0)
                     if c + more < new.get(used + t + 1, (math.inf, []))[0]:
                         new[used + t + 1] = (c + more, [*chosen, t])
             cost = new
