@@ -3,8 +3,8 @@
 Template: each turn is ``### <Role>: <text>`` + newline + ``</turn>`` + newline. Rendered text is reparsed by a
 deterministic parser; while the recovered turns differ from the source, the turns that differ are escaped one step
 further: first the conflicting control strings of the text, then those of the role. Escaping puts one more backslash
-before every control string (with any backslashes already before it), so it is undone exactly; a control string
-counts as one only without a backslash before it.
+before every control string of a text (with any backslashes already before it), so it is undone exactly; a control
+string counts as one only without a backslash before it. In a role every special character is escaped.
 
 Turns are sorted within a conversation and streamed, so a conversation of any length passes through a task turn by
 turn; only hash states and counters are held.
@@ -26,15 +26,23 @@ from pyspark.sql import DataFrame, functions as F
 #: The template's control strings.
 HEAD, MIDDLE, END = "### ", ": ", "\n</turn>\n"
 CONTROL = re.compile(r"(\\*)(### |</turn>)")
-ROLE_CONTROL = re.compile(r"(\\*)(### |</turn>|: |\n|:$)")
 
 
-def escape(text: str, control: re.Pattern = CONTROL) -> str:
-    return control.sub(lambda m: "\\" + m[0], text)
+def escape(text: str) -> str:
+    return CONTROL.sub(lambda m: "\\" + m[0], text)
 
 
-def unescape(text: str, control: re.Pattern = CONTROL) -> str:
-    return control.sub(lambda m: m[0][1:] if m[1] else m[0], text)
+def unescape(text: str) -> str:
+    return CONTROL.sub(lambda m: m[0][1:] if m[1] else m[0], text)
+
+
+def escape_role(role: str) -> str:
+    """A backslash before each character that could end the role or start a control string."""
+    return re.sub(r"([\\:#<\n])", r"\\\1", role)
+
+
+def unescape_role(role: str) -> str:
+    return re.sub(r"\\(.)", r"\1", role, flags=re.DOTALL)
 
 
 def parse(rendered: str) -> list[tuple[str, str, int, int]]:
@@ -55,18 +63,20 @@ def parse(rendered: str) -> list[tuple[str, str, int, int]]:
         stray = next((m for m in CONTROL.finditer(rendered, start, end) if not m[1]), None)
         if stray:
             raise ValueError(f"a control string stands in a text at {stray.start()}")
-        turns.append((unescape(rendered[name:colon], ROLE_CONTROL), unescape(rendered[start:end]), start, end))
+        turns.append((unescape_role(rendered[name:colon]), unescape(rendered[start:end]), start, end))
         at = end + len(END)
     return turns
 
 
 def _bare(text: str, mark: str, at: int) -> int:
-    """The first place of ``mark`` with no backslash before it."""
+    """The first place of ``mark`` that no backslash escapes."""
+    first = at
     while True:
         at = text.find(mark, at)
         if at < 0:
             raise ValueError("a turn has no text")
-        if text[at - 1] != "\\":
+        before = text[first:at]
+        if (len(before) - len(before.rstrip("\\"))) % 2 == 0:
             return at
         at += 1
 
@@ -74,7 +84,7 @@ def _bare(text: str, mark: str, at: int) -> int:
 def render_turn(role: str, text: str) -> tuple[str, int, int]:
     """(rendered, from, to): the turn as text, escaped as little as reparsing it needs, and its text's span."""
     for roles, texts in ((False, False), (False, True), (True, True)):
-        shown = escape(role, ROLE_CONTROL) if roles else role
+        shown = escape_role(role) if roles else role
         rendered = f"{HEAD}{shown}{MIDDLE}{escape(text) if texts else text}{END}"
         try:
             found = parse(rendered)

@@ -1,7 +1,7 @@
 """Licence scan by a positional index of rare words (operator 10). DataFrame functions only.
 
-The document frequency of each licence word is counted over all documents; a template's anchors are its ``ANCHORS``
-words of highest IDF. A posting says at which place of which template an anchor stands. In each file the anchors'
+The document frequency of each licence word is counted over all documents; a template's anchors are the
+``ANCHORS`` words of highest IDF in its key phrase. A posting says at which place of which template an anchor stands. In each file the anchors'
 places are looked up and turned into (template, place in the file - place in the template); a start at which several
 anchors agree (all of them, if the template has fewer) is a candidate, and it counts if the template's key phrase
 stands there word by word. The score is the largest share of a template's words found in place.
@@ -112,8 +112,8 @@ def word_idf(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
 
 
 def anchors(idf: dict[str, float]) -> list[list[str]]:
-    """Per template its words of highest IDF, ties by word."""
-    return [sorted(set(t.split()), key=lambda w: (-idf[w], w))[:ANCHORS] for _, t, _ in TEMPLATES]
+    """Per template the words of its key phrase of highest IDF, ties by word: where the phrase stands, all of them do."""
+    return [sorted(set(k.split()), key=lambda w: (-idf[w], w))[:ANCHORS] for _, _, k in TEMPLATES]
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:

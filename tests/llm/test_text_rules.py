@@ -77,7 +77,7 @@ def test_pseudonyms_keep_the_format_and_the_rest(spark):
         if got[k]["n_pii"] == 0:
             assert new == t
             continue
-        assert new != t and new != other[k] and len(re.sub(r"\d+", "", new)) == len(re.sub(r"\d+", "", t))
+        assert new != t and new != other[k] and (k == 3 or len(new) == len(t))
         keep = r"[A-Za-z0-9]+" if k in (0, 6, 7) else r"\d+"
         assert re.sub(keep, "#", new) == re.sub(keep, "#", t)
     cards = re.findall(r"\d{4} ?\d{4} ?\d{4} ?\d{4}", got[2]["text"])
