@@ -1,8 +1,7 @@
 """pt-BR report formatting as Column builders (currency, percent, compact, deltas).
 
-Rounding rule: the value is first fixed to a 10-digit decimal, then rounded half-up to the shown digits, so
-the text is the same on every engine (the dashboard rounds the binary double; they differ only on exact
-ties of the shortest decimal form).
+Rounding rule: the binary double itself is rounded to the shown digits, exact ties to even, as Python's formatter
+does for the dashboard.
 """
 
 from __future__ import annotations
@@ -12,22 +11,14 @@ from pyspark.sql import functions as F
 
 from bizlens.functions.common import col_of
 
-EXACT = "decimal(38,10)"
-
-
-def _fixed(value: Column, decimals: int) -> Column:
-    return F.round(value.cast(EXACT), decimals)
-
-
 def _grouped(abs_value: Column, decimals: int) -> Column:
     """``1234.5`` -> ``1.234,50``: thousands with '.', decimals with ','."""
-    return F.translate(F.format_number(_fixed(abs_value, decimals), decimals), ",.", ".,")
+    return F.translate(F.format_number(abs_value, decimals), ",.", ".,")
 
 
 def _plain(abs_value: Column, decimals: int) -> Column:
     """``1234.5`` -> ``1234,50`` (no grouping)."""
-    text = _fixed(abs_value, decimals).cast("string")
-    return F.translate(text, ".", ",") if decimals else text
+    return F.translate(F.format_number(abs_value, decimals), ".,", ",")
 
 
 def format_currency(c, show_sign: bool = False) -> Column:

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from bizlens.functions.common import col_of
 
-# Upper bound on rows for an explicit broadcast; above it the join is left to the planner (sort-merge / AQE).
-BROADCAST_MAX_ROWS = 200_000
-
 
 def asc_last(c) -> Column:
     """Ascending with nulls last (the SQL warehouse default; Spark's own default puts nulls first)."""
@@ -20,27 +17,6 @@ def desc_last(c) -> Column:
     return col_of(c).desc_nulls_last()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only after proving the frame holds at most ``max_rows`` rows.
-
-    The proof reads at most ``max_rows + 1`` rows of ``bound_by`` (a frame at least as large as ``df``, e.g. the
-    input of a deduplication; default ``df`` itself); a larger frame is returned unhinted so the planner (and AQE
-    at run time) picks a shuffle join instead.
-    """
-    proof = bound_by if bound_by is not None else df
-    n = proof.__dict__.get("_bizlens_rows_upto")            # remembered per frame (frames are immutable)
-    if n is None or n > max_rows + 1:
-        n = proof.limit(max_rows + 1).count()
-        proof.__dict__["_bizlens_rows_upto"] = n
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def unique_on(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keep one row per key (deterministic: smallest row by all other columns), so a lookup join never fans out."""
-    others = [c for c in df.columns if c not in keys]
-    return first_per_key(df, keys, others) if others else df.dropDuplicates(keys)
-
-
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """First row per key by ``order`` (ascending, nulls last), i.e. ``row_number() = 1``.
 

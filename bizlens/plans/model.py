@@ -102,6 +102,8 @@ def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True) -
     before the shuffle, and is joined back on the unique row identity, so the client key (where one unknown
     client can own a large share of all lines) never forces a whole group into one task.
     """
+    if with_recurrence and not row_order:
+        raise ValueError("recurrence needs a total order of the lines: pass row_order")
     row_order = list(row_order or ["data", "comanda"])
     base = sales.select(
         *row_order,
@@ -118,8 +120,9 @@ def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True) -
     if not with_recurrence:
         return base.select(*out_cols)
     firsts = FR.first_per_key(base.select("id_cliente", *row_order), ["id_cliente"], row_order) \
-        .select(*[F.col(c).alias(f"_f_{c}") for c in row_order], F.lit(True).alias("_is_first"))
-    cond = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in row_order]
+        .select(*[F.col(c).alias(f"_f_{c}") for c in ["id_cliente", *row_order]], F.lit(True).alias("_is_first"))
+    # One first row per client, joined on the client too: the join never multiplies lines.
+    cond = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in ["id_cliente", *row_order]]
     flagged = base.join(firsts, on=cond, how="left")
     return flagged.select(*out_cols, F.col("_is_first").isNull().alias("is_recorrente"))
 
@@ -128,11 +131,9 @@ def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True) -
 def _with_levels(ledger_table: DataFrame, seed: DataFrame) -> DataFrame:
     """LEFT join of the ledger to the category seed on UPPER(TRIM(categoria)).
 
-    The seed is a chart of accounts (bounded, checked by ``frames.bounded_broadcast``), so it is broadcast and
-    the ledger is never shuffled for this join.
+    The seed's categories are unique (checked where it is loaded); how to join is the planner's choice by size.
     """
     dim = (seed.select(C.normalized_key("categoria").alias("_cat"), "nivel_1", "nivel_2", "excluir_dre"))
-    dim = FR.bounded_broadcast(FR.unique_on(dim, ["_cat"]), bound_by=seed)
     return (ledger_table.withColumn("_cat", C.normalized_key("categoria"))
             .join(dim, "_cat", "left").drop("_cat"))
 
@@ -204,7 +205,9 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[st
     views: dict[str, DataFrame] = {}
     if "tbl_0186_comandas" in t:
         sales = t["tbl_0186_comandas"]
-        order = ["data", "comanda"] + [c for c in ("_arquivo", "_linha") if c in sales.columns]
+        position = [c for c in ("_arquivo", "_linha") if c in sales.columns]
+        # Without the raw position the line's own columns complete the order.
+        order = ["data", "comanda", *(position or [c for c in sales.columns if c not in ("data", "comanda")])]
         views["fct_vendas"] = fct_vendas(sales, order)
         views["dim_servicos"] = dim_servicos(t["tbl_0186_comandas"])
         if "tbl_0229_profissionais" in t:
@@ -224,7 +227,8 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[st
             # a month without card-fee extracts contributes no fee lines (schema-stable empty input)
             fees = views.get("fct_taxas_cartao") or spark.createDataFrame([], FEE_FACT_SCHEMA)
             views["rep_financeiro_competencia"] = rep_financeiro_competencia(
-                t["tbl_0387_financeiro"], t["tbl_dim_categorias"], views["fct_vendas"], fees)
+                t["tbl_0387_financeiro"], t["tbl_dim_categorias"],
+                fct_vendas(t["tbl_0186_comandas"], with_recurrence=False), fees)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return views

@@ -20,17 +20,12 @@ def periods_values(start: dt.date, end: dt.date) -> str:
     return f"SELECT * FROM (VALUES {rows}) AS t(ordem, periodo, inicio, fim)"
 
 
-def fixed(x: str, d: int) -> str:
-    return f"round(CAST({x} AS DECIMAL(38,10)), {d})"
-
-
 def plain(absx: str, d: int) -> str:
-    text = f"CAST({fixed(absx, d)} AS VARCHAR)"
-    return f"replace({text}, '.', ',')" if d else text
+    return f"replace(format('{{:.{d}f}}', CAST({absx} AS DOUBLE)), '.', ',')"
 
 
 def grouped(absx: str, d: int) -> str:
-    return f"translate(format('{{:,.{d}f}}', CAST({fixed(absx, d)} AS DOUBLE)), ',.', '.,')"
+    return f"translate(format('{{:,.{d}f}}', CAST({absx} AS DOUBLE)), ',.', '.,')"
 
 
 def currency(x: str, show_sign: bool = False) -> str:

@@ -15,7 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -60,11 +59,13 @@ def build_session(master: str | None = None, app: str = "bizlens", shuffle_parti
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a folder every executor can reach and is only read here. When it is
-    unset (local runs and tests) a fresh folder is made and registered.
+    On a cluster the setting names a folder every executor can reach and is only read here; there it must be set.
+    When it is unset in a local run or a test a fresh folder is made and registered.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="bizlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:

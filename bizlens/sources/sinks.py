@@ -13,7 +13,7 @@ from bizlens.session import shared_path
 
 def replace(df: DataFrame, target: str, as_table: bool = False) -> None:
     """``CREATE OR REPLACE TABLE ... AS SELECT``."""
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if as_table:
         w.saveAsTable(target)
     else:
@@ -37,17 +37,27 @@ def replace_if_not_empty(df: DataFrame, target: str, partition_by: list[str] | N
     """Replace ``target`` only when ``df`` has rows. Returns whether the table was replaced.
 
     ``df`` is written once to a staging folder under the shared work folder; the emptiness test reads the staged
-    files (footer metadata), and the swap copies staged files, so the upstream plan never runs twice.
+    files (footer metadata), and the swap copies staged files, so the upstream plan never runs twice. The whole
+    table is replaced, partitions that no longer occur included, and the staging folder is removed.
     ``partition_by`` lays the table out by those columns (e.g. month) so period queries prune whole folders.
     """
     spark: SparkSession = df.sparkSession
     staging = shared_path(spark, "staging")
     df.write.mode("overwrite").parquet(staging)
-    staged = spark.read.parquet(staging)
-    if staged.isEmpty():
-        return False
-    w = staged.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
-    return True
+    try:
+        staged = spark.read.parquet(staging)
+        if staged.isEmpty():
+            return False
+        w = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(target)
+        return True
+    finally:
+        remove(spark, staging)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a work folder through the filesystem its path names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

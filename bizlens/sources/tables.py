@@ -9,48 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# A table this large that arrives in fewer input splits than the cluster has cores is spread round-robin before
-# the per-row work (parsing, hashing) starts. A large table on a cluster has thousands of splits, so there the
-# check is false and no shuffle is added; it only matters for inputs written as one big row group.
-SPREAD_MIN_BYTES = 8 << 20
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def needs_spread(scan: DataFrame) -> bool:
-    """True when a file scan is large but has fewer input splits than the default parallelism (plan metadata
-    only: the size estimate and the split count come from the planner, no job runs)."""
-    try:
-        qe = scan._jdf.queryExecution()
-        if int(str(qe.optimizedPlan().stats().sizeInBytes())) < SPREAD_MIN_BYTES:
-            return False
-        return qe.executedPlan().execute().getNumPartitions() < scan.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no plan handle (e.g. a remote session): keep the scan as it is
-        return False
-
-
-def table_scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The scan DataFrame of an input table, created once per session and path (the inputs are read-only).
-
-    Only the logical plan is kept (file listing and footer schema), no data; reusing it saves the listing and
-    analysis on every query that reads the table.
-    """
-    cache = spark.__dict__.setdefault("_bizlens_scans", {})
-    path = table_path(sf_dir, name)
-    if path not in cache:
-        cache[path] = spark.read.parquet(path)
-    return cache[path]
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread: bool = False) -> DataFrame:
-    """Scan one table (pruned to ``columns``). With ``spread``, for queries that do heavy per-row work (text
-    parsing, hashing every line), a large but under-split file is spread round-robin after the pruned scan, so
-    filters and column pruning still reach the Parquet reader."""
-    scan = table_scan(spark, sf_dir, name)
-    df = scan.select(*columns) if columns else scan
-    if spread and needs_spread(scan):
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Scan one table, pruned to ``columns``."""
+    scan = spark.read.parquet(table_path(sf_dir, name))
+    return scan.select(*columns) if columns else scan

@@ -35,8 +35,10 @@ def duck(small_dir):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert not missing
+    from bizlens.plans import queries as plans
+
+    assert set(plans.QUERIES) == set(plans.ORACLE)
+    assert set(plans.QUERIES) <= set(E.queries()) and set(plans.ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
