@@ -89,14 +89,16 @@ def md5_key(c) -> Column:
 
 
 # ---------------------------------------------------------------------------------------------- B1 names
-def clean_column_name(name) -> str:
-    """Column header sanitiser (metadata, runs on the driver over ``df.columns`` only)."""
-    if not isinstance(name, str):
-        return str(name)
-    ascii_form = "".join(ch for ch in unicodedata.normalize("NFKD", name) if not unicodedata.combining(ch))
-    out = re.sub(r"[().%]", "", ascii_form.lower())
-    out = re.sub(r"[\s/-]+", "_", out)
-    return re.sub(r"_+", "_", out).strip("_")
+#: Characters a column name loses, and the runs that part its words.
+_DROPPED = dict.fromkeys(map(ord, "().%"))
+_BETWEEN_WORDS = re.compile(r"[\s/_-]+")
+
+
+def clean_column_name(name: str) -> str:
+    """Column header as a name: the accent-free lower-case words joined by ``_`` (driver side, over ``df.columns``)."""
+    letters = filter(lambda ch: unicodedata.category(ch) != "Mn", unicodedata.normalize("NFKD", name).lower())
+    words = _BETWEEN_WORDS.split("".join(letters).translate(_DROPPED))
+    return "_".join(word for word in words if word)
 
 
 def sanitize_columns(df, renames: dict | None = None):

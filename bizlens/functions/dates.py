@@ -47,9 +47,8 @@ class Period:
 
 def previous_period(start: dt.date, end: dt.date) -> tuple[dt.date, dt.date]:
     """Same length, ending the day before ``start``."""
-    span = (end - start).days
-    prev_end = start - dt.timedelta(days=1)
-    return prev_end - dt.timedelta(days=span), prev_end
+    length = end - start + dt.timedelta(days=1)
+    return start - length, start - dt.timedelta(days=1)
 
 
 def same_period_last_year(start: dt.date, end: dt.date) -> tuple[dt.date, dt.date]:

@@ -1,4 +1,4 @@
-"""Column cleaning builders: vectors from the reference tests plus property tests against plain-Python models."""
+"""Column cleaning builders: vectors, and property tests against plain-Python models of the rules."""
 
 import datetime as dt
 import hashlib
@@ -12,13 +12,14 @@ from conftest import col_values
 
 
 def test_clean_column_name():
-    got = [C.clean_column_name(x) for x in ["Valor Total", "Mês/Ano", "Ação!", "  Espaços  ", "Custos (R$)"]]
-    assert got == ["valor_total", "mes_ano", "acao!", "espacos", "custos_r$"]
+    names = {"Preço Médio": "preco_medio", "Início/Fim": "inicio_fim", "% Desconto (R$)": "desconto_r$",
+             "a - b": "a_b", "__Já  é__": "ja_e", "Nº": "no", "Olá!": "ola!", "": ""}
+    assert {x: C.clean_column_name(x) for x in names} == names
 
 
-def test_clean_currency_reference_vectors(spark):
-    vals = ["R$ 1.000,00", "1,50", "(100)", "invalid", None]
-    assert col_values(spark, C.clean_currency, vals) == [1000.0, 1.5, -100.0, None, None]
+def test_clean_currency_vectors(spark):
+    vals = ["R$ 2.345,60", "7,25", "(48)", "n/d", None, ""]
+    assert col_values(spark, C.clean_currency, vals) == [2345.6, 7.25, -48.0, None, None, None]
 
 
 def test_clean_currency_edge_vectors(spark):
@@ -69,17 +70,18 @@ def test_int_coerce(spark):
 
 
 # ---------------------------------------------------------------------------------------------- property tests
-def py_currency(s):
-    """Plain-Python model of the report money parser (pandas semantics without inf/nan)."""
-    if s is None:
-        return None
-    s = s.strip()
-    neg = s.startswith("(") and s.endswith(")")
-    body = re.sub(r"[R$%\s()]", "", s).replace(".", "").replace(",", ".")
-    if not re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", body):
+NUMBER = re.compile(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?")
+#: What happens to a character of the number: marks and thousands separators go, the comma is the point.
+MARKS = str.maketrans(",", ".", "R$%().")
+
+
+def money_by_rule(text):
+    if text is None:
         return None
-    v = float(body)
-    return -v if neg else v
+    bare = "".join(text.split())
+    number = bare.translate(MARKS)
+    sign = -1 if (bare[:1], bare[-1:]) == ("(", ")") else 1
+    return sign * float(number) if NUMBER.fullmatch(number) else None
 
 
 money_text = st.one_of(
@@ -94,7 +96,7 @@ money_text = st.one_of(
 @settings(max_examples=25, deadline=None)
 @given(st.lists(money_text, min_size=1, max_size=40))
 def test_currency_matches_python_model(spark, values):
-    assert col_values(spark, C.clean_currency, values) == [py_currency(v) for v in values]
+    assert col_values(spark, C.clean_currency, values) == [money_by_rule(v) for v in values]
 
 
 @settings(max_examples=15, deadline=None)
