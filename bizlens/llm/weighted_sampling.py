@@ -16,6 +16,8 @@ an empty table gives no rows; columns besides id and text are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +28,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from bizlens.llm.work import written
 
 SAMPLES = 64
-#: Texts fingerprinted at once, and samples worked out at once: bounds of memory.
-TEXTS_AT_ONCE, SAMPLES_AT_ONCE = 1000, 8
+#: Texts and characters fingerprinted at once: bounds of memory.
+TEXTS_AT_ONCE = 1000
 CHARS_AT_ONCE = 4_000_000
 
 
@@ -51,34 +53,30 @@ def signatures(bags: list[dict[bytes, int]], samples: int = SAMPLES) -> np.ndarr
     full = [k for k, b in enumerate(bags) if b]
     if not full:
         return out
-    places: dict[tuple[bytes, int], int] = {}
-    codes = np.fromiter((places.setdefault(x, len(places)) for k in full for x in bags[k].items()), np.int64)
+    places: dict[tuple[bytes, int], int] = defaultdict(itertools.count().__next__)
+    codes = np.fromiter((places[x] for k in full for x in bags[k].items()), np.int64)
     starts = np.concatenate([[0], np.cumsum([len(bags[k]) for k in full])[:-1]])
-    words = np.array([xxh64_intdigest(w) for w, _ in places], np.uint64)
+    index: dict[bytes, int] = {}  # a word's draws do not depend on its count
+    word = np.fromiter((index.setdefault(w, len(index)) for w, _ in places), np.int64)
+    hashes = np.array([xxh64_intdigest(w) for w in index], np.uint64)
+    words = hashes[word]
     log_w = np.log(np.array([c for _, c in places], np.float64))
-    for first in range(0, samples, SAMPLES_AT_ONCE):
-        many = range(first, min(samples, first + SAMPLES_AT_ONCE))
-        packed = np.empty((len(words), len(many)), np.uint64)
-        for j, s in enumerate(many):
-            r = -np.log(_uniform(words, s, 0) * _uniform(words, s, 1))
-            c = -np.log(_uniform(words, s, 2) * _uniform(words, s, 3))
-            b = _uniform(words, s, 4)
-            t = np.floor(log_w / r + b)
-            rank = (np.log(c) - r * (t - b) - r).astype(np.float32).view(np.uint32)
-            # Unsigned order of the bits is the order of the numbers; the sample's value rides along below.
-            order = np.where(rank >> 31, ~rank, rank | np.uint32(1 << 31)).astype(np.uint64)
-            value = _mix(words ^ _mix(t.astype(np.int64).view(np.uint64) + np.uint64(s))) & np.uint64(0xFFFFFFFF)
-            packed[:, j] = order << np.uint64(32) | value
-        least = np.minimum.reduceat(packed[codes], starts, axis=0)
-        out[full, many.start:many.stop] = (least & np.uint64(0xFFFF)).astype(np.uint16)
+    for s in range(samples):
+        r = -np.log(_uniform(hashes, s, 0) * _uniform(hashes, s, 1))[word]
+        log_c = np.log(-np.log(_uniform(hashes, s, 2) * _uniform(hashes, s, 3)))[word]
+        b = _uniform(hashes, s, 4)[word]
+        t = np.floor(log_w / r + b)
+        rank = (log_c - r * (t - b) - r).astype(np.float32).view(np.uint32)
+        # Unsigned order of the bits is the order of the numbers; the sample's value rides along below.
+        order = np.where(rank >> 31, ~rank, rank | np.uint32(1 << 31)).astype(np.uint64)
+        value = _mix(words ^ _mix(t.astype(np.int64).view(np.uint64) + np.uint64(s))) & np.uint64(0xFFFFFFFF)
+        least = np.minimum.reduceat((order << np.uint64(32) | value)[codes], starts)
+        out[full, s] = (least & np.uint64(0xFFFF)).astype(np.uint16)
     return out
 
 
 def bag(text: str) -> dict[bytes, int]:
-    counts: dict[bytes, int] = {}
-    for w in text.encode("utf-8", "surrogatepass").split():
-        counts[w] = counts.get(w, 0) + 1
-    return counts
+    return Counter(text.encode("utf-8", "surrogatepass").split())
 
 
 def edited(text: str, other: str) -> str:
@@ -123,8 +121,8 @@ _SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 def _compared(ids: list, texts: list[str]) -> pa.RecordBatch:
     """Result rows of all texts but the last, each compared with the one behind it."""
     changed = [edited(a, b) for a, b in zip(texts[:-1], texts[1:], strict=True)]
-    own = signatures([bag(t) for t in texts])
-    other = signatures([bag(t) for t in changed])
+    both = signatures([bag(t) for t in [*texts, *changed]])  # at once: the two share most of their words
+    own, other = both[:len(texts)], both[len(texts):]
     n = len(changed)
     return pa.RecordBatch.from_arrays([
         pa.array(ids[:n], pa.int64()), pa.array([len(t) for t in texts[:n]], pa.int64()),
