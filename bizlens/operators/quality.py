@@ -11,21 +11,21 @@ def orphan_keys(fact: DataFrame, fact_key, dim: DataFrame, dim_key: str, check:
     """Fact rows whose key has no dimension member (null keys count as orphans).
 
     The fact is first reduced to one row per key (partial aggregation, so a key holding a large share of the rows
-    costs one row per map task), and only those per-key counts meet the dimension keys in a ``left_anti`` join.
+    costs one row per map task), and only those per-key counts meet the dimension keys in a left join.
     ``weight`` names a row-count column when ``fact`` is already pre-aggregated; ``fact_key`` may be a Column.
     """
     key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     n = F.sum(weight) if weight else F.count(F.lit(1))
     per_key = fact.groupBy(key.alias("_k")).agg(n.alias("_n"))
-    keys = dim.select(F.col(dim_key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    orphans = per_key.join(keys, "_k", "left_anti")
-    o = orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("linhas_orfas"),
-                    F.count(F.lit(1)).cast("bigint").alias("chaves_orfas"))
-    total = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("linhas"))
-    # both sides are single-row aggregates: combine them as scalar subqueries (no join)
-    return o.select(F.lit(check).alias("checagem"), "linhas_orfas", "chaves_orfas",
-                    total.select("linhas").scalar().alias("linhas")) \
-            .withColumn("ok", F.col("linhas_orfas") == 0)
+    known = dim.select(F.col(dim_key).alias("_d")).where(F.col("_d").isNotNull()).distinct()
+    lost = F.col("_d").isNull()
+    # one aggregate after one join gives the total and the orphans
+    return per_key.join(known, F.col("_k") == F.col("_d"), "left").agg(
+        F.coalesce(F.sum(F.when(lost, F.col("_n"))), F.lit(0)).cast("bigint").alias("linhas_orfas"),
+        F.count(F.when(lost, 1)).cast("bigint").alias("chaves_orfas"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("linhas")) \
+        .select(F.lit(check).alias("checagem"), "linhas_orfas", "chaves_orfas", "linhas",
+                (F.col("linhas_orfas") == 0).alias("ok"))
 
 
 def duplicate_members(dim: DataFrame, name_col: str, check: str) -> DataFrame:

@@ -53,7 +53,8 @@ def sales_slice(sales_fact: DataFrame, start: dt.date, end: dt.date, title_names
     """Current-period sales lines with ``valor > 0``; display names title-cased as the dashboard shows them."""
     s = period_slice(sales_fact, "data", start, end).where(F.col("valor") > 0)
     if title_names:
-        s = s.withColumns({c: C.title_case(c) for c in ("profissional", "servico", "categoria_servico")})
+        s = s.withColumns({c: C.title_case(c) for c in ("profissional", "servico", "categoria_servico")
+                            if c in s.columns})
     return s
 
 

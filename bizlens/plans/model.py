@@ -94,37 +94,42 @@ def fct_ocupacao(occupancy_table: DataFrame) -> DataFrame:
         "horas_agendadas_decimal")
 
 
-def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True) -> DataFrame:
+def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True, keys: DataFrame | None = None) -> DataFrame:
     """Sales fact: visit key, client/professional keys, category fallback and the recurrence flag.
 
     ``is_recorrente`` is true for every line that is not the client's first line (by ``row_order``, a total
     order). The first line per client comes from a ``row_number() = 1`` window that Spark limits per key
     before the shuffle, and is joined back on the unique row identity, so the client key (where one unknown
-    client can own a large share of all lines) never forces a whole group into one task.
+    client can own a large share of all lines) never forces a whole group into one task. ``keys`` may give the
+    same lines with the client and the order columns only, so the first lines come from a narrower plan.
+    Of ``sales`` that lacks columns, the fact has the columns that it admits.
     """
     if with_recurrence and not row_order:
         raise ValueError("recurrence needs a total order of the lines: pass row_order")
-    row_order = list(row_order or ["data", "comanda"])
-    base = sales.select(
-        *row_order,
-        *[c for c in ("cliente", "profissional", "servico", "grupo_servico", "valor", "desconto", "comissao",
-                      "custo", "liquido", MONTH_COL) if c not in row_order and c in sales.columns],
-    ).withColumn("id_comanda", C.visit_key("data", "comanda", "cliente")) \
-     .withColumn("id_cliente", C.md5_key("cliente"))
-    out_cols = [
-        "data", "comanda", "id_comanda", "id_cliente",
-        C.md5_key("profissional").alias("id_profissional"), "profissional", "servico", "grupo_servico",
-        C.first_non_blank("grupo_servico", F.lit(CATEGORY_FALLBACK)).alias("categoria_servico"),
-        "valor", "desconto", "comissao", "custo", "liquido",
-    ] + ([MONTH_COL] if MONTH_COL in sales.columns else [])
+    row_order = list(row_order or [])
+    fact = {
+        "data": ("data",), "comanda": ("comanda",), "id_comanda": ("data", "comanda", "cliente"),
+        "id_cliente": ("cliente",), "id_profissional": ("profissional",), "profissional": ("profissional",),
+        "servico": ("servico",), "grupo_servico": ("grupo_servico",), "categoria_servico": ("grupo_servico",),
+        **{c: (c,) for c in ("valor", "desconto", "comissao", "custo", "liquido", MONTH_COL)},
+    }
+    made = {
+        "id_comanda": lambda: C.visit_key("data", "comanda", "cliente"), "id_cliente": lambda: C.md5_key("cliente"),
+        "id_profissional": lambda: C.md5_key("profissional"),
+        "categoria_servico": lambda: C.first_non_blank("grupo_servico", F.lit(CATEGORY_FALLBACK)),
+    }
+    admitted = [c for c, needs in fact.items() if set(needs) <= set(sales.columns)]
+    columns = [made[c]().alias(c) if c in made else F.col(c) for c in admitted]
     if not with_recurrence:
-        return base.select(*out_cols)
-    firsts = FR.first_per_key(base.select("id_cliente", *row_order), ["id_cliente"], row_order) \
-        .select(*[F.col(c).alias(f"_f_{c}") for c in ["id_cliente", *row_order]], F.lit(True).alias("_is_first"))
+        return sales.select(*columns)
+    identity = ["id_cliente", *row_order]
+    narrow = (sales if keys is None else keys).select(C.md5_key("cliente").alias("id_cliente"), *row_order)
+    firsts = FR.first_per_key(narrow, ["id_cliente"], row_order) \
+        .select(*[F.col(c).alias(f"_f_{c}") for c in identity], F.lit(True).alias("_is_first"))
     # One first row per client, joined on the client too: the join never multiplies lines.
-    cond = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in ["id_cliente", *row_order]]
-    flagged = base.join(firsts, on=cond, how="left")
-    return flagged.select(*out_cols, F.col("_is_first").isNull().alias("is_recorrente"))
+    lines = sales.select(*columns, *[c for c in row_order if c not in admitted])
+    flagged = lines.join(firsts, on=[F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in identity], how="left")
+    return flagged.select(*admitted, F.col("_is_first").isNull().alias("is_recorrente"))
 
 
 # ---------------------------------------------------------------------------------------------- ledger

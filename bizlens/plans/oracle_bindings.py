@@ -6,7 +6,7 @@ Each entry is a CTE body; ``with_ctes`` stitches the ones a query needs in front
 from __future__ import annotations
 
 V = """
-SELECT CAST(o.o_orderdate AS DATE) AS data, o.o_orderkey AS comanda,
+SELECT CAST(o.o_orderdate AS DATE) AS data, l.l_orderkey AS comanda,
   CASE WHEN o.o_custkey % 50 = 0 THEN NULL ELSE c.c_name END AS cliente, s.s_name AS profissional, p.p_name AS servico,
   CASE WHEN p.p_size % 10 = 0 THEN ' ' ELSE p.p_type END AS grupo_servico,
   CAST(l.l_extendedprice AS DECIMAL(18,2)) AS valor,
@@ -16,8 +16,8 @@ SELECT CAST(o.o_orderdate AS DATE) AS data, o.o_orderkey AS comanda,
   l.l_linenumber, l.l_partkey, l.l_suppkey,
   CAST(l.l_extendedprice AS DECIMAL(18,2)) - CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2)) AS liquido,
   md5(UPPER(TRIM(p.p_name))) AS id_servico
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN part p ON l.l_partkey = p.p_partkey
+FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN part p ON l.l_partkey = p.p_partkey
 """
 
 P = """

@@ -16,15 +16,22 @@ from bizlens.sources import bindings as B
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """``periods`` (start, end): the card fees hold the months that these touch; none given: all months."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, *periods):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.periods = periods
 
     # ------------------------------------------------------------------ tables
     @cached_property
     def sales(self) -> DataFrame:
         """tbl_0186_comandas (+ line identity columns used as a total order)."""
-        return B.sales_lines(self.spark, self.sf_dir)
+        return self.sales_lines()
+
+    def sales_lines(self, *columns: str) -> DataFrame:
+        """The sales table with the given columns: joins only what they need."""
+        return B.sales_lines(self.spark, self.sf_dir, columns)
 
     @cached_property
     def professionals(self) -> DataFrame:
@@ -44,7 +51,7 @@ class Warehouse:
     @cached_property
     def card_fees(self) -> DataFrame:
         """tbl_0188_bandeirascartao."""
-        return B.card_fees(self.spark, self.sf_dir)
+        return B.card_fees(self.spark, self.sf_dir, self.periods)
 
     @cached_property
     def occupancy(self) -> DataFrame:
@@ -58,7 +65,12 @@ class Warehouse:
 
     # ------------------------------------------------------------------ views
     def sales_fact(self, with_recurrence: bool = True) -> DataFrame:
-        return M.fct_vendas(self.sales, B.SALES_ROW_ORDER, with_recurrence=with_recurrence)
+        keys = self.sales_lines("cliente", *B.SALES_ROW_ORDER) if with_recurrence else None
+        return M.fct_vendas(self.sales, B.SALES_ROW_ORDER, with_recurrence, keys)
+
+    def sales_slice(self, *columns: str) -> DataFrame:
+        """The sales fact without recurrence, of the given columns of the sales table."""
+        return M.fct_vendas(self.sales_lines(*columns), with_recurrence=False)
 
     @cached_property
     def card_fee_fact(self) -> DataFrame:
@@ -67,8 +79,8 @@ class Warehouse:
     @cached_property
     def pl(self) -> DataFrame:
         """rep_financeiro_competencia (commissions need no recurrence flag, so it is not computed)."""
-        return M.rep_financeiro_competencia(self.ledger, self.seed, self.sales_fact(with_recurrence=False),
-                                            self.card_fee_fact)
+        commissions = self.sales_slice("data", "comanda", "profissional", "comissao")
+        return M.rep_financeiro_competencia(self.ledger, self.seed, commissions, self.card_fee_fact)
 
     def tables(self) -> dict[str, DataFrame]:
         return {"tbl_0186_comandas": self.sales, "tbl_0229_profissionais": self.professionals,

@@ -2,7 +2,7 @@
 
 Each builder turns the star tables into one report-shaped DataFrame, injecting the nulls, blanks, padding, case
 noise, unmapped categories and duplicates the reports carry. They are plain projections, joins and one
-aggregation, so they scale with the tables; the same definitions exist as SQL in ``plans.oracle``.
+aggregation, so they scale with the tables; the same definitions exist as SQL in ``plans.oracle_bindings``.
 
   V sales lines (warehouse table of report 0186)   G ledger (0387)        S category seed
   P professionals master (0229)                     C card fees (0188)     O occupancy (0126)
@@ -11,6 +11,10 @@ aggregation, so they scale with the tables; the same definitions exist as SQL in
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,35 +28,46 @@ RATE = "decimal(4,2)"
 SALES_ROW_ORDER = ("data", "comanda", "l_linenumber", "l_partkey", "l_suppkey", "valor")
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V: one row per ticket line. Columns of the sales table plus the line identity."""
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                                 "l_quantity", "l_extendedprice", "l_discount", "l_tax"])
-    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
-    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    p = read_table(spark, sf_dir, "part", ["p_partkey", "p_name", "p_type", "p_size", "p_retailprice"])
+def _sales_columns() -> dict:
+    """Each column of V: the joined tables it needs and its expression."""
     price = F.col("l_extendedprice").cast(MONEY)
-    joined = (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, F.col("o_custkey") == c.c_custkey)
-              .join(s, F.col("l_suppkey") == s.s_suppkey)
-              .join(p, F.col("l_partkey") == p.p_partkey))
-    out = joined.select(
-        F.to_date("o_orderdate").alias("data"),
-        F.col("o_orderkey").alias("comanda"),
-        F.when(F.col("o_custkey") % 50 == 0, F.lit(None).cast("string")).otherwise(F.col("c_name")).alias("cliente"),
-        F.col("s_name").alias("profissional"),
-        F.col("p_name").alias("servico"),
-        F.when(F.col("p_size") % 10 == 0, F.lit(" ")).otherwise(F.col("p_type")).alias("grupo_servico"),
-        price.alias("valor"),
-        (price * F.col("l_discount").cast(RATE)).alias("desconto"),
-        (price * F.col("l_tax").cast(RATE)).alias("comissao"),
-        F.col("p_retailprice").cast(MONEY).alias("custo"),
-        F.col("l_quantity").cast("bigint").alias("qtd"),
-        "l_linenumber", "l_partkey", "l_suppkey",
-    )
-    return (out.withColumn("liquido", F.col("valor") - F.col("desconto"))
-               .withColumn("id_servico", md5_key("servico")))
+    discount = price * F.col("l_discount").cast(RATE)
+    return {
+        "data": ("orders", F.to_date("o_orderdate")),
+        "comanda": ("", F.col("l_orderkey")),
+        "cliente": ("orders customer", F.when(F.col("o_custkey") % 50 == 0, F.lit(None).cast("string"))
+                    .otherwise(F.col("c_name"))),
+        "profissional": ("supplier", F.col("s_name")),
+        "servico": ("part", F.col("p_name")),
+        "grupo_servico": ("part", F.when(F.col("p_size") % 10 == 0, F.lit(" ")).otherwise(F.col("p_type"))),
+        "valor": ("", price),
+        "desconto": ("", discount),
+        "comissao": ("", price * F.col("l_tax").cast(RATE)),
+        "custo": ("part", F.col("p_retailprice").cast(MONEY)),
+        "qtd": ("", F.col("l_quantity").cast("bigint")),
+        "l_linenumber": ("", F.col("l_linenumber")),
+        "l_partkey": ("", F.col("l_partkey")),
+        "l_suppkey": ("", F.col("l_suppkey")),
+        "liquido": ("", price - discount),
+        "id_servico": ("part", md5_key("p_name")),
+    }
+
+
+def sales_lines(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """V: one row per ticket line, the sales table plus the line identity; all columns or the given ones.
+
+    Lines keep their row when a dimension lacks their key (left joins), so only the tables that the columns need
+    are joined.
+    """
+    known = _sales_columns()
+    chosen = {c: known[c] for c in columns or known}
+    needed = {t for tables, _ in chosen.values() for t in tables.split()}
+    out = read_table(spark, sf_dir, "lineitem")
+    for table, left, right in (("orders", "l_orderkey", "o_orderkey"), ("customer", "o_custkey", "c_custkey"),
+                               ("supplier", "l_suppkey", "s_suppkey"), ("part", "l_partkey", "p_partkey")):
+        if table in needed:
+            out = out.join(read_table(spark, sf_dir, table), F.col(left) == F.col(right), "left")
+    return out.select(*[expr.alias(c) for c, (_, expr) in chosen.items()])
 
 
 def professionals_master(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,9 +117,16 @@ def category_seed(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(CATEGORY_SEED_ROWS, CATEGORY_SEED_SCHEMA)
 
 
-def card_fees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C: card fees per month and brand (gross, net)."""
+def card_fees(spark: SparkSession, sf_dir: str, periods: tuple[tuple[dt.date, dt.date], ...] = ()) -> DataFrame:
+    """C: card fees per month and brand (gross, net); with ``periods``, of the months they touch only.
+
+    The months are ranges of the shipping time itself, so they reach the scan below the aggregate.
+    """
     li = read_table(spark, sf_dir, "lineitem", ["l_shipdate", "l_returnflag", "l_extendedprice", "l_tax"])
+    if periods:
+        ship = F.col("l_shipdate")
+        months = [(a.replace(day=1), (b.replace(day=1) + dt.timedelta(days=32)).replace(day=1)) for a, b in periods]
+        li = li.where(reduce(or_, [(ship >= F.lit(a)) & (ship < F.lit(b)) for a, b in months]))
     price = F.col("l_extendedprice").cast(MONEY)
     return (li.groupBy(F.to_date(F.date_trunc("month", "l_shipdate")).alias("data_competencia"),
                        F.col("l_returnflag").alias("bandeira"))

@@ -22,9 +22,32 @@ def test_period_filter_reaches_orders_scan(spark, small_dir):
     assert re.search(r"PushedFilters: \[Or\(Or\(And\(GreaterThanOrEqual\(o_orderdate", p)
 
 
-def test_dimension_scans_are_pruned(spark, small_dir):
-    p = plan(spark, small_dir, "sales_kpis")
-    assert "ReadSchema: struct<p_partkey:bigint>" in p      # part only serves as a join filter here
+def scans(spark, small_dir, name):
+    """The column lists of the scans in the physical plan."""
+    return re.findall(r"FileScan parquet \[([^\]]*)\]", plan(spark, small_dir, name).split("== Optimized")[0])
+
+
+def test_unneeded_dimensions_are_not_joined(spark, small_dir):
+    columns = ",".join(scans(spark, small_dir, "sales_kpis"))
+    assert "o_orderdate" in columns and "p_partkey" not in columns and "s_suppkey" not in columns
+    assert "c_custkey" not in ",".join(scans(spark, small_dir, "dim_services"))
+
+
+def test_fee_months_reach_the_scan(spark, small_dir):
+    for name in ("financial_kpis", "pl_by_group", "evolution_monthly", "ledger_detail"):
+        p = plan(spark, small_dir, name)
+        assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate", p), name
+
+
+def test_first_lines_come_from_a_narrow_plan(spark, small_dir):
+    lines = [s for s in scans(spark, small_dir, "sales_facts") if "l_extendedprice" in s]
+    assert len(lines) == 2 and sum("l_tax" in s for s in lines) == 1
+
+
+def test_orphan_keys_join_no_five_tables(spark, small_dir):
+    # clients once; professionals as the fact and as the history of two checks (equal plans); occupancy once
+    lines = [s for s in scans(spark, small_dir, "orphan_keys") if "l_" in s]
+    assert len(lines) <= 5 and not any("l_partkey" in s for s in lines)
 
 
 def test_recurrence_uses_map_side_group_limit(spark, small_dir):
