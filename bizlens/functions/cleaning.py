@@ -132,9 +132,13 @@ def clean_date(c, input_type: str = "string") -> Column:
     return F.try_to_date(col_of(c), "d/M/yyyy")
 
 
+#: A time of day behind a date.
+TIME_OF_DAY = r"[ T]([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?$"
+
+
 def lenient_date(c) -> Column:
-    """Day-first date with an ordered fallback list of formats (``d/M/yyyy`` then ISO)."""
-    c = col_of(c)
+    """Day-first date with an ordered fallback list of formats (``d/M/yyyy`` then ISO); a time of day is ignored."""
+    c = F.regexp_replace(col_of(c), TIME_OF_DAY, "")
     return F.coalesce(F.try_to_date(c, "d/M/yyyy"), F.try_to_date(c, "yyyy-MM-dd"))
 
 

@@ -151,6 +151,7 @@ def clean_date(x: str) -> str:
 
 
 def lenient_date(x: str) -> str:
+    x = f"regexp_replace({x}, '[ T]([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?$', '')"
     iso = (f"(CASE WHEN regexp_matches({x}, '^\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}$') "
            f"THEN CAST(try_strptime({x}, '%Y-%m-%d') AS DATE) END)")
     return f"COALESCE({clean_date(x)}, {iso})"

@@ -35,8 +35,9 @@ def test_clean_date_vectors(spark):
 
 
 def test_lenient_date(spark):
-    assert col_values(spark, C.lenient_date, ["05/03/2021", "2021-03-05", "x"]) == [dt.date(2021, 3, 5),
-                                                                                    dt.date(2021, 3, 5), None]
+    day = dt.date(2021, 3, 5)
+    vals = ["05/03/2021", "2021-03-05", "x", "05/03/2021 14:30", "5/3/2021 09:05:59", "2021-03-05T08:00", "05/03/2021 25:00"]
+    assert col_values(spark, C.lenient_date, vals) == [day, day, None, day, day, day, None]
 
 
 def test_hours_vectors(spark):
