@@ -21,8 +21,14 @@ LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN part p ON l.l_partke
 """
 
 P = """
-SELECT s_suppkey AS seq, CASE WHEN s_suppkey % 4 = 1 THEN concat('  ', lower(s_name), ' ') ELSE s_name END AS nome
-FROM supplier WHERE s_suppkey % 10 <> 0
+SELECT s_suppkey AS seq, CASE WHEN s_suppkey % 10 = 0 THEN concat('Cadastro ', s_name)
+    WHEN s_suppkey % 4 = 1 THEN concat('  ', lower(s_name), ' ') ELSE s_name END AS nome,
+  CASE WHEN s_suppkey % 5 <> 0 THEN concat(' cargo ', CAST(s_suppkey % 7 AS VARCHAR)) END AS cargo,
+  CASE s_suppkey % 6 WHEN 0 THEN 'nan' WHEN 1 THEN NULL
+    ELSE concat(lpad(CAST(s_suppkey AS VARCHAR), 9, '0'), '-', lpad(CAST(s_suppkey AS VARCHAR), 2, '3')) END AS cpf,
+  CASE WHEN s_suppkey % 3 <> 0 THEN concat('apelido ', CAST(s_suppkey AS VARCHAR)) END AS apelido, 'Estética ' AS especialidade,
+  CASE s_suppkey % 4 WHEN 0 THEN '15/03/2021 08:30' WHEN 1 THEN '2020-02-29' WHEN 2 THEN '31/02/2021' END AS data_cadastro
+FROM supplier
 """
 
 G = """
@@ -68,8 +74,12 @@ FROM customer
 """
 
 R = """
-SELECT c_name AS cliente, concat(lpad(CAST(day(d) AS VARCHAR), 2, '0'), '/', lpad(CAST(month(d) AS VARCHAR), 2, '0'), '/', CAST(year(d) AS VARCHAR)) AS ultima_visita
-FROM (SELECT c_name, MAX(CAST(o_orderdate AS DATE)) AS d FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_name) q
+SELECT c_name AS cliente, concat(lpad(CAST(day(d) AS VARCHAR), 2, '0'), '/', lpad(CAST(month(d) AS VARCHAR), 2, '0'), '/', CAST(year(d) AS VARCHAR)) AS ultima_visita,
+  CASE k % 3 WHEN 1 THEN concat(' USER', CAST(k AS VARCHAR), '@Mail.com ') WHEN 2 THEN 'nan' END AS email,
+  concat('(11) ', lpad(CAST(k AS VARCHAR), 8, '3')) AS telefone,
+  CASE WHEN k % 4 <> 0 THEN concat('9', lpad(CAST(k AS VARCHAR), 8, '8')) END AS celular,
+  CASE k % 4 WHEN 1 THEN ' f ' WHEN 2 THEN 'nan' WHEN 3 THEN 'M' END AS sexo
+FROM (SELECT c_name, MAX(CAST(o_orderdate AS DATE)) AS d, MIN(c_custkey) AS k FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_name) q
 """
 
 BINDINGS = {"v": V, "p": P, "g": G, "s": S, "c": C, "o": O, "k": K, "r": R}

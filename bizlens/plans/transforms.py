@@ -8,7 +8,7 @@ decides, so results never depend on task scheduling.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bizlens.functions import cleaning as C
@@ -31,6 +31,7 @@ def _require(df: DataFrame, cols: list[str], report: str, on_missing: str) -> Da
 # ---------------------------------------------------------------------------------------------- L1 0387 ledger
 LEDGER_COLUMNS = ["data_movimento", "tipo", "id_categoria", "id_entidade", "categoria", "fornecedor_cliente", "valor",
                   "conta_bancaria", "centro_de_custos", "observacoes", "titulo"]
+LEDGER_SCHEMA = ", ".join(f"{c} {({'data_movimento': 'date', 'valor': 'double'}).get(c, 'string')}" for c in LEDGER_COLUMNS)
 _LEDGER_VALUE_ALIASES = ("valor", "valor_pago", "valor_previsto")
 _LEDGER_TEXT = ["categoria", "fornecedor_cliente", "centro_de_custos", "conta_bancaria", "observacoes", "titulo"]
 
@@ -50,10 +51,11 @@ def _ledger_stream(raw: DataFrame, stream: str) -> DataFrame:
 
 def ledger(raw_cash: DataFrame | None, raw_accrual: DataFrame | None) -> DataFrame:
     """Cash and accrual streams -> one ledger: the stream's own date becomes ``data_movimento``; money parsed
-    (null -> 0); text defaults; category upper, names title-cased; md5 keys of category and counterparty."""
+    (null -> 0); text defaults; category upper, names title-cased; md5 keys of category and counterparty. Without any
+    stream the ledger is empty, with its columns."""
     streams = [_ledger_stream(r, s) for r, s in ((raw_cash, "Caixa"), (raw_accrual, "Competencia")) if r is not None]
     if not streams:
-        raise MissingColumns("ledger needs at least one stream")
+        return SparkSession.active().createDataFrame([], LEDGER_SCHEMA)
     df = FR.stack(streams)
     text = {c: C.text_default(c) for c in _LEDGER_TEXT}
     text["categoria"] = C.text_default(F.upper(C.py_strip(F.coalesce(F.col("categoria"), F.lit(C.NOT_INFORMED_TITLE)))))
@@ -189,12 +191,13 @@ def latest_snapshot(df: DataFrame, period_col: str = "data_competencia") -> Data
     return df.where(F.col(period_col) == latest)
 
 
-def professionals(raw: DataFrame, seq_cols: list[str]) -> DataFrame:
+def professionals(raw: DataFrame, seq_cols: list[str], on_missing: str = "raise") -> DataFrame:
     """Professionals: latest snapshot, names normalised and deduplicated (first arrival wins), CPF digits kept
     as text, lenient registration date, md5 id (blank -> UNKNOWN), unknown member first."""
     df = latest_snapshot(C.sanitize_columns(raw))
-    if "nome" not in df.columns:
-        raise MissingColumns(f"report 0229 lacks 'Nome'; columns: {raw.columns}")
+    if _require(df, ["nome"], "0229", on_missing) is not None:
+        types = ", ".join(f"{c} {'date' if c == 'data_cadastro' else 'string'}" for c in PROFESSIONAL_COLUMNS)
+        return df.sparkSession.createDataFrame([], types)
     df = df.withColumn("nome", C.clean_text_field("nome"))
     df = FR.keep_first(df, ["nome"], seq_cols)
     text = lambda c: C.clean_text_field(c) if c in df.columns else F.lit(C.NOT_INFORMED_TITLE)

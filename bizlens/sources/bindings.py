@@ -71,12 +71,23 @@ def sales_lines(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | Non
 
 
 def professionals_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P: the professionals master; one in ten suppliers is absent so the dimension has a history branch."""
+    """P: the professionals master, one row per supplier; one in ten has another name there than in sales, so the
+    dimension has a history branch."""
     s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    return s.where(F.col("s_suppkey") % 10 != 0).select(
-        F.col("s_suppkey").alias("seq"),
-        F.when(F.col("s_suppkey") % 4 == 1, F.concat(F.lit("  "), F.lower("s_name"), F.lit(" ")))
-         .otherwise(F.col("s_name")).alias("nome"))
+    k = F.col("s_suppkey")
+    number = k.cast("string")
+    return s.select(
+        k.alias("seq"),
+        F.when(k % 10 == 0, F.concat(F.lit("Cadastro "), F.col("s_name")))
+         .when(k % 4 == 1, F.concat(F.lit("  "), F.lower("s_name"), F.lit(" ")))
+         .otherwise(F.col("s_name")).alias("nome"),
+        F.when(k % 5 != 0, F.concat(F.lit(" cargo "), (k % 7).cast("string"))).alias("cargo"),
+        F.when(k % 6 == 0, F.lit("nan")).when(k % 6 != 1, F.concat(F.lpad(number, 9, "0"), F.lit("-"), F.lpad(number, 2, "3")))
+         .alias("cpf"),
+        F.when(k % 3 != 0, F.concat(F.lit("apelido "), number)).alias("apelido"),
+        F.lit("Estética ").alias("especialidade"),
+        F.when(k % 4 == 0, F.lit("15/03/2021 08:30")).when(k % 4 == 1, F.lit("2020-02-29")).when(k % 4 == 2, F.lit("31/02/2021"))
+         .alias("data_cadastro"))
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,12 +181,18 @@ def clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R: return list, one row per client name with the last visit as ``dd/mm/yyyy`` text."""
+    """R: return list, one row per client name, under the report's headers; the last visit as ``dd/mm/yyyy`` text."""
     o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderdate"])
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name"])
-    q = o.join(c, o.o_custkey == c.c_custkey).groupBy("c_name").agg(F.max(F.to_date("o_orderdate")).alias("d"))
-    d = F.col("d")
-    return q.select(F.col("c_name").alias("cliente"),
+    q = o.join(c, o.o_custkey == c.c_custkey).groupBy("c_name").agg(F.max(F.to_date("o_orderdate")).alias("d"),
+                                                                        F.min("c_custkey").alias("k"))
+    d, k = F.col("d"), F.col("k")
+    return q.select(F.col("c_name").alias("Cliente"),
+                    F.when(k % 3 == 1, F.concat(F.lit(" USER"), k.cast("string"), F.lit("@Mail.com ")))
+                     .when(k % 3 == 2, F.lit("nan")).alias("E-mail"),
+                    F.concat(F.lit("(11) "), F.lpad(k.cast("string"), 8, "3")).alias("Telefone"),
+                    F.when(k % 4 != 0, F.concat(F.lit("9"), F.lpad(k.cast("string"), 8, "8"))).alias("Celular"),
+                    F.when(k % 4 == 1, F.lit(" f ")).when(k % 4 == 2, F.lit("nan")).when(k % 4 == 3, F.lit("M")).alias("Sexo"),
                     F.concat(F.lpad(F.dayofmonth(d).cast("string"), 2, "0"), F.lit("/"),
                              F.lpad(F.month(d).cast("string"), 2, "0"), F.lit("/"),
-                             F.year(d).cast("string")).alias("ultima_visita"))
+                             F.year(d).cast("string")).alias("Última Visita"))
