@@ -95,3 +95,25 @@ def test_router(spark):
     assert set(T.TRANSFORMS) == {"0387", "0186", "0002", "0126", "0188", "0007", "0229"}
     with pytest.raises(ValueError):
         T.transform("9999")
+
+
+def test_reports_of_which_nothing_came_are_empty_tables(spark):
+    empty = T.ledger(None, None)
+    assert empty.columns == T.LEDGER_COLUMNS and empty.count() == 0
+    assert dict(empty.dtypes)["valor"] == "double" and dict(empty.dtypes)["data_movimento"] == "date"
+    no_name = spark.createDataFrame([("x",)], "Cargo string")
+    with pytest.raises(T.MissingColumns):
+        T.professionals(no_name, ["Cargo"])
+    kept = T.professionals(no_name, ["Cargo"], on_missing="empty")
+    assert kept.columns == T.PROFESSIONAL_COLUMNS and kept.count() == 0
+
+
+def test_professionals_all_columns(spark):
+    raw = spark.createDataFrame(
+        [(1, " ana ", "gerente", "123.456.789-09", "aninha", None, "15/03/2021 08:30"), (2, "ANA", "outro", None, None, None, None),
+         (3, "bia", None, "nan", None, "unhas", "31/02/2021")],
+        "seq int, Nome string, Cargo string, CPF string, Apelido string, Especialidade string, `Data Cadastro` string")
+    out = {r["nome"]: r for r in T.professionals(raw, ["seq"]).collect()}
+    assert (out["ANA"]["cargo"], out["ANA"]["cpf"], out["ANA"]["apelido"]) == ("GERENTE", "12345678909", "ANINHA")
+    assert out["ANA"]["data_cadastro"] == dt.date(2021, 3, 15) and out["ANA"]["especialidade"] == "NÃO INFORMADO"
+    assert out["BIA"]["cpf"] == "NÃO INFORMADO" and out["BIA"]["data_cadastro"] is None and len(out) == 3
