@@ -19,6 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from bizlens.llm.tokens import encoder, slices
 
+#: Text encoded and decoded at once: its ids are also held as Python numbers.
+ROUND_TRIP_BYTES = 4 << 20
+
 
 def decode(tokenizer, ids: list[int], names: dict[int, str]) -> str:
     """What the library's ``decode(ids, skip_special_tokens=False)`` returns."""
@@ -51,7 +54,7 @@ def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
         enc = encoder(tokenizer_path)
         names = {i: t for t, i in enc.tokenizer.get_vocab(with_added_tokens=True).items()}
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", ROUND_TRIP_BYTES):
                 ids, at = enc.encode(part.column("t"))
                 data, listed, at = ids.astype("<u4").tobytes(), ids.tolist(), at.tolist()
                 spans = list(zip(at[:-1], at[1:], strict=True))

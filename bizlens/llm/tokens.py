@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Distinct fragments kept per Python worker; beyond it the memo starts anew (a memory bound, not a result bound).
-MEMO_FRAGMENTS = 1_500_000
+MEMO_FRAGMENTS = 500_000
 #: Bytes of text handled at once inside a task.
 SLICE_BYTES = 16 << 20
 
