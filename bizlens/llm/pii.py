@@ -7,7 +7,8 @@ valid value of the same format, always the same under one key: equal values stay
 values stay different. A card's check digit is computed anew; dates are day numbers of a 400-year cycle (146,097 =
 189 x 773 days, so no value falls outside).
 
-Found: e-mail addresses, IPv4 addresses, phone numbers (+country, area code), card numbers, US social security numbers,
+Found: e-mail addresses, IPv4 addresses, phone numbers (behind +country any number of 8 to 15
+digits with the usual separators, its national digits permuted in place; without it the North American shape), card numbers, US social security numbers,
 ISO dates, access keys, and values of token/password/secret/api_key assignments.
 
 Defined results: a null text stays null with no finds; empty texts stay empty; repeated rows get the same text; an empty
@@ -26,10 +27,35 @@ FIRST_DAY = "1800-01-01"
 EMAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])"
-PHONE = r"(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([2-9][0-9]{2}\)|[2-9][0-9]{2})[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 DATE = r"(?<![0-9-])(?:1[89]|2[01])[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])"
+#: Country codes (ITU-T E.164; any other is taken as up to three digits) and the usual separators.
+COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3})"
+SEPARATOR = r"[ \u00a0\u202f./\u2010\u2011\u2013-]"
+#: Digits behind the country code where the plan has one length; they say where a number ends.
+NATIONAL = {"1": 10, "7": 10, "31": 9, "33": 9, "34": 9, "41": 9, "45": 8, "47": 8, "48": 9, "52": 10, "61": 9,
+            "91": 10, "351": 9}
+
+
+def _phone() -> str:
+    """Numbers with a country code: those of a known length, else 8 to 15 digits; no other value starts inside."""
+    opened = "|".join(rf"(?<=\([0-9]{{{k}}})" for k in range(1, 6))
+    lead = rf"{SEPARATOR}{{0,3}}(?:\(0\){SEPARATOR}{{0,3}})?\(?"
+    gap = rf"(?:(?:{opened})\))?{SEPARATOR}{{0,3}}"
+    more = rf"{gap}(?!{IP}|{SSN}|{DATE}|{CARD})[0-9]"
+    known = [rf"{c}{lead}[0-9](?:{gap}[0-9]){{{n - 1}}}" for c, n in NATIONAL.items()]
+    other = [rf"[0-9]{{{k}}}{lead}[0-9](?:{gap}[0-9]){{{7 - k}}}(?:{more}){{0,7}}" for k in (3, 2, 1)]
+    start = rf"(?<![0-9])\+(?!{IP}|{DATE}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}(?![0-9]))"
+    return rf"{start}(?:(?:{'|'.join(known)})(?![0-9])|(?:{'|'.join(other)})(?![0-9]))"
+
+
+#: Without a country code only the North American shape is a number (area and exchange code start with 2 to 9).
+LOCAL = (r"(?<![0-9A-Za-z+.-])(?:1[ .-])?(?:\([2-9][0-9]{2}\)[ .-]?[2-9][0-9]{2}[ .-]|[2-9][0-9]{2}[.-][2-9][0-9]{2}[.-])"
+         r"[0-9]{4}(?![0-9]|[.-][0-9])")
+PHONE = rf"{_phone()}|{LOCAL}"
+#: What stands before a number's national digits, with a trunk zero in brackets.
+BEFORE_NATIONAL = rf"^(?:\+0{{0,3}}{COUNTRY}{SEPARATOR}{{0,3}}(?:\(0\))?|1)"
 KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 SECRET = r"(?<![A-Za-z0-9])(?i:token|password|passwd|secret|api[_-]?key)[ ]?[=:][ ]?\"?[A-Za-z0-9]{8,}"
 ANY = "|".join((EMAIL, SECRET, KEY, IP, PHONE, SSN, DATE, CARD))
@@ -88,7 +114,8 @@ def permute(symbols: Column, radices: Column, form: Column, key: str) -> Column:
 
 
 def _kind(m: Column) -> Column:
-    plain = F.when(m.contains("@"), "email").when(m.rlike(f"^(?:{IP})$"), "ip").when(m.startswith("+"), "phone")
+    plain = F.when(m.contains("@"), "email").when(m.rlike(f"^(?:{IP})$"), "ip").when(
+        m.startswith("+") | m.rlike(f"^(?:{LOCAL})$"), "phone")
     plain = plain.when(m.rlike(f"^(?:{SSN})$"), "ssn")
     plain = plain.when(m.rlike(f"^(?:{DATE})$"), F.when(m.try_cast("date").isNotNull(), "date"))
     plain = plain.when(m.rlike("^[0-9]"), F.when(luhn_sum(_digits(m), False) % 10 == 0, "card"))
@@ -98,7 +125,7 @@ def _kind(m: Column) -> Column:
 def _varying(m: Column, kind: Column) -> Column:
     """The characters of a value that are permuted, without separators and fixed parts."""
     return (F.when(kind == "email", F.regexp_extract(m, r"^(.*)\.[^.]*$", 1))
-            .when(kind == "phone", F.substring(_digits(m), -10, 10))
+            .when(kind == "phone", _digits(F.regexp_replace(m, BEFORE_NATIONAL, "")))
             .when(kind == "card", 
                   F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - 1))
             .when(kind == "key", F.substring(m, 5, 16))
@@ -114,10 +141,14 @@ def pseudonym(m: Column, key: str) -> Column:
         numbers = F.split(m, "[.-]").cast("array<int>")
         area = F.get(numbers, F.lit(0))
         day = F.datediff(m.try_cast("date"), F.lit(FIRST_DAY).cast("date"))
+        # Digits of a phone number that may not take every value.
+        local = (kind == "phone") & ~m.startswith("+")
+        single = (kind == "phone") & m.rlike(r"^\+[^(]*\([1-9]\)")  # a single digit in brackets; 0 is the trunk's
         as_chars = F.transform(_chars(text), lambda c, i: F.when(
             hexed, F.struct(F.conv(F.when(hexed, c), 16, 10).cast("int").alias("s"), F.lit(16).alias("r"))
-        ).when((kind == "phone") & i.isin(0, 3), F.struct((F.ascii(c) - 50).alias("s"), F.lit(8).alias("r"))
-               ).otherwise(_class(c)))
+        ).when(local & i.isin(0, 3), F.struct((F.ascii(c) - 50).alias("s"), F.lit(8).alias("r"))
+               ).when(single & (i == 0), F.struct((F.ascii(c) - 49).alias("s"), F.lit(9).alias("r"))
+                      ).otherwise(_class(c)))
 
         def pairs(*both):
             return F.array(*[F.struct(F.lit(s).cast("int").alias("s") if isinstance(s, int) else
@@ -139,13 +170,14 @@ def pseudonym(m: Column, key: str) -> Column:
         def rendered(out: Column, radices: Column) -> Column:
             chars = F.transform(_chars(text), lambda c, i: F.when(
                 hexed, F.lower(F.conv(F.get(out, i).cast("string"), 10, 16)))
-                .when((kind == "phone") & i.isin(0, 3), F.char(F.get(out, i) + 50))
+                .when(local & i.isin(0, 3), F.char(F.get(out, i) + 50))
+                .when(single & (i == 0), F.char(F.get(out, i) + 49))
                 .when(c.rlike("[0-9]"), F.char(F.get(out, i) + 48)).when(c.rlike("[a-z]"), F.char(F.get(out, i) + 97))
                 .when(c.rlike("[A-Z]"), F.char(F.get(out, i) + 65)).otherwise(c))
             joined = F.array_join(chars, "")
             check = F.pmod(-luhn_sum(joined, True), F.lit(10)).cast("string")
             digits = F.when(kind == "card", F.concat(joined, check)).otherwise(
-                F.concat(F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - 10), joined))
+                F.concat(F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - F.length(joined)), joined))
             spread = F.array_join(F.transform(_chars(m), lambda c, i: F.when(c.rlike("[0-9]"), F.substring(
                 digits, F.length(_digits(F.substring(m, F.lit(1), i))) + 1, F.lit(1))).otherwise(c)), "")
             a, g, s = (F.get(out, F.lit(k)) for k in range(3))

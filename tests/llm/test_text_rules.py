@@ -91,6 +91,37 @@ def test_pseudonyms_keep_the_format_and_the_rest(spark):
     assert pii.pseudonymise(frame(spark, []), "k").count() == 0
 
 
+PHONES = ["+1 (171) 555-2028", "+1 (058) 555-3468", "+33 1 23 45 67 89", "+44 20 7946 0958", "+49 30 901820", "+34912345678",
+          "+44 (0)20 7946 0958", "+49 (0) 30 / 901820", "+353 (1) 234 5678", "+1-988-155-0000", "+999 (988) 555-2485",
+          "+3 (988) 555-2485", "+0 (988) 555-2485", "+33 (988) 555-2485", "+33\u00a01\u202f23.45.67.89", "+4915112345678",
+          "(988) 555-2485", "988-555-2485", "1 (988) 555 2485"]
+NO_PHONES = ["+1 23456", "(171) 555-2028", "988-155-2485", "+1234567890123456", "988-555-2485-12", "3 + 12345678"]
+
+
+def test_phone_numbers_of_any_country(spark):
+    texts = ([f"Call {x}, or not." for x in PHONES + NO_PHONES]
+             + ["+1 (988) 555-2485 70.123.182.155 end", "+353 1 234 5678 70.123.182.155 end",
+                "+33 1 23 45 67 89 12 things", "(+353 1 234 5678) 12 things", "+353 1 234 5678 (988) 555-2486"])
+    got = [(r["text"], r["n_pii"]) for r in pii.pseudonymise(frame(spark, texts), "k").orderBy("doc_id").collect()]
+    codes = ["+1 ", "+1 ", "+33 ", "+44 ", "+49 ", "+34", "+44 (0)", "+49 (0) ", "+353 ", "+1-", "+999 ", "+3 ", "+0 ",
+             "+33 ", "+33", "+49", "", "", "1 "]
+    for t, x, code, (new, n) in zip(texts, PHONES, codes, got):
+        assert n == 1 and x not in new, t
+        assert new.startswith(f"Call {code}") and re.sub(r"\d", "#", new) == re.sub(r"\d", "#", t)
+    assert got[len(PHONES):len(PHONES) + len(NO_PHONES)] == [(t, 0) for t in texts[len(PHONES):-5]]
+    assert [n for _, n in got[-5:]] == [2, 2, 1, 1, 2]
+    assert got[-3][0].endswith(" 12 things") and got[-2][0].endswith(") 12 things")
+    national = [re.sub(r"\D", "", new)[2:] for new, _ in got]
+    assert national[3] == national[6].removeprefix("0") and national[4] == national[7].removeprefix("0")
+
+
+def test_phone_pseudonyms_stay_different(spark):
+    numbers = [f"+1 ({a:03d}) 555-2485" for a in range(1000)] + [f"+353 ({d}) 234 5678" for d in range(10)]
+    new = [r["text"] for r in pii.pseudonymise(frame(spark, numbers), "k").collect()]
+    assert len(set(new)) == len(numbers)
+    assert all(re.fullmatch(pii.PHONE, x) for x in new)
+
+
 def test_feistel_is_a_permutation(spark):
     # every social security number of one group: 898 areas, all distinct afterwards
     areas = [a for a in range(1, 900) if a != 666]
