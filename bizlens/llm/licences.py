@@ -1,10 +1,14 @@
 """Licence scan by a positional index of rare words (operator 10). DataFrame functions only.
 
-The document frequency of each licence word is counted over all documents; a template's anchors are the
-``ANCHORS`` words of highest IDF in its key phrase. A posting says at which place of which template an anchor stands. In each file the anchors'
-places are looked up and turned into (template, place in the file - place in the template); a start at which several
-anchors agree (all of them, if the template has fewer) is a candidate, and it counts if the template's key phrase
-stands there word by word. The score is the largest share of a template's words found in place.
+The index holds the notices, titles, short references and SPDX tags of the usual licences; each entry has a key phrase
+that must stand word by word. A posting says at which place of which entry a word stands. The document frequency of
+each licence word is counted over all documents. In each file the ``RAREST`` licence words of highest IDF that it holds
+are looked up; the places of their postings are turned into (entry, place in the file - place in the entry). A start at
+which several of them agree is a candidate, and it counts if the entry's key phrase stands there. The score is the
+largest share of an entry's words found in place.
+
+So that no licence is lost in a file that holds several, an entry whose key phrase has all its words in the file also
+has the ``ANCHORS`` rarest of them looked up, though they are not among the file's rarest.
 
 The word table has one row per licence word, a fixed number; nothing that grows with the corpus reaches the driver.
 The scan itself is one map; only the per-task counts of licence words are shuffled.
@@ -18,6 +22,7 @@ each; an empty table gives no rows; columns besides id and text are not read.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,7 +35,7 @@ BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("c
         ("mit license", "mit"))
 
 #: Fixed values: (label, template words, key phrase inside the template).
-TEMPLATES = (
+SENTENCES = (
     ("apache-2.0", "licensed under the apache license version 2 0", "apache license version 2 0"),
     ("gpl-3.0", "this work is licensed under the gnu general public license version 3",
      "gnu general public license version 3"),
@@ -48,8 +53,134 @@ TEMPLATES = (
      "free and unencumbered software released into the public domain"),
     ("all-rights-reserved", "all rights reserved", "all rights reserved"),
 )
-#: Anchors per template, and how many of them must agree on a start.
-ANCHORS, AGREE = 3, 2
+
+
+def _plain(text: str) -> str:
+    return " ".join(re.findall("[0-9a-z]+", text.lower()))
+
+
+def _gnu() -> list[tuple[str, str, str]]:
+    """Notices and titles of the GNU licences; without a version they have the family's label."""
+    out = []
+    for family, name, versions in (("gpl", "gnu general", "123"), ("lgpl", "gnu lesser general", ("2.1", "3")),
+                                   ("lgpl", "gnu library general", "2"), ("agpl", "gnu affero general", "3")):
+        full = f"{name} public license"
+        if family != "gpl":  # plain GPL without a version is a base phrase
+            out.append((family, f"licensed under the {full}", full))
+        for v in versions:
+            label = f"{family}-{v}" if "." in v else f"{family}-{v}.0"
+            v = _plain(v)
+            key = f"{full} as published by the free software foundation either version {v} of the license"
+            out.append((label, "this program is free software you can redistribute it and or modify it under the terms "
+                        f"of the {key} or at your option any later version", key))
+            key = f"{full} as published by the free software foundation version {v}"
+            out.append((label, f"you can redistribute it and or modify it under the terms of the {key}", key))
+            key = f"version {v} of the {full}"
+            out.append((label, f"under the terms of {key} as published by the free software foundation", key))
+            for said in (f"version {v}", f"v{v}", f"v {v}", v):
+                out.append((label, f"licensed under the {full} {said}", f"{full} {said}"))
+            out += [(label, f"licensed under the {k}", k) for k in (f"{family} v{v}", f"{family}v{v}")
+                    if "library" not in name]
+    return out
+
+
+def _creative_commons() -> list[tuple[str, str, str]]:
+    words = {"by": "attribution", "nc": "noncommercial", "sa": "sharealike", "nd": "noderivatives"}
+    apart = {"nc": "non commercial", "sa": "share alike", "nd": "no derivatives"}
+    older = {"nd": "no derivs"}  # the name up to version 2.5; 3.0 has noderivs
+    out = []
+    for kind in ("by", "by nc", "by sa", "by nd", "by nc sa", "by nc nd"):
+        names = {" ".join(x.get(k, words[k]) for k in kind.split())
+                 for x in (words, apart, apart | older, {"nd": "noderivs"})}
+        for v in ("1 0", "2 0", "2 5", "3 0", "4 0"):
+            label = f"cc {kind} ".replace(" ", "-") + v.replace(" ", ".")
+            out += [(label, f"licensed under {k}", k) for k in (f"cc {kind} {v}", f"creativecommons org licenses {kind} {v}")]
+            for name in sorted(names):
+                out.append((label, f"this work is licensed under a creative commons {name} {v} international license",
+                            f"creative commons {name} {v}"))
+    out.append(("cc", "this work is licensed under a creative commons license", "creative commons"))
+    out += [("cc0-1.0", f"licensed under {k}", k) for k in (
+        "cc0", "creative commons zero", "creativecommons org publicdomain zero 1 0")]
+    return out
+
+
+def _named() -> list[tuple[str, str, str]]:
+    """Licences known by their names: (label, name, versions)."""
+    out = []
+    for label, name, versions in (
+            ("apache", "apache license", ("2.0", "1.1", "1.0")), ("apache", "apache software license", ("2.0", "1.1", "1.0")),
+            ("mpl", "mozilla public license", ("2.0", "1.1", "1.0")), ("epl", "eclipse public license", ("2.0", "1.0")),
+            ("artistic", "artistic license", ("2.0", "1.0")), ("bsl", "boost software license", ("1.0",)),
+            ("busl", "business source license", ("1.1",)), ("cddl", "common development and distribution license", ("1.0", "1.1")),
+            ("cpl", "common public license", ("1.0",)), ("eupl", "european union public licence", ("1.1", "1.2")),
+            ("eupl", "european union public license", ("1.1", "1.2")), ("gfdl", "gnu free documentation license", ("1.2", "1.3")),
+            ("ofl", "sil open font license", ("1.1",)), ("ms-pl", "microsoft public license", ()),
+            ("ms-rl", "microsoft reciprocal license", ()), ("afl", "academic free license", ("3.0",)),
+            ("odbl", "open database license", ("1.0",)), ("lppl", "latex project public license", ("1.3c",)),
+            ("sspl", "server side public license", ()), ("upl", "universal permissive license", ("1.0",)),
+            ("edl", "eclipse distribution license", ("1.0",)), ("psf", "python software foundation license", ()),
+            ("ncsa", "ncsa open source license", ()), ("wtfpl", "do what the fuck you want to public license", ()),
+            ("bsd-2-clause", "bsd 2 clause", ()), ("bsd-2-clause", "2 clause bsd", ()), ("bsd-2-clause", "simplified bsd", ()),
+            ("bsd-3-clause", "bsd 3 clause", ()), ("bsd-3-clause", "3 clause bsd", ()), ("bsd-3-clause", "new bsd license", ()),
+            ("bsd-4-clause", "bsd 4 clause", ()), ("bsd", "bsd license", ()), ("isc", "isc license", ()),
+            ("zlib", "zlib license", ())):
+        if name != "apache license":  # a base phrase
+            out.append((label, f"licensed under the {name}", name))
+        for v in versions:
+            for said in (f"version {v}", f"v {v}", f"v{v}", v):
+                key = _plain(f"{name} {said}")
+                out.append((f"{label}-{v}", f"licensed under the {key}", key))
+    return out
+
+
+#: Whole notices, as (label, notice, key phrase inside it).
+NOTICES = (
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in "
+     "compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 "
+     "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
+     "on an as is basis without warranties or conditions of any kind either express or implied",
+     "apache org licenses license 2 0"),
+    ("mit-grant", "to deal in the software without restriction including without limitation the rights to use copy "
+     "modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
+     "software is furnished to do so", "to deal in the software without restriction"),
+    ("bsd-3-clause", "nor the names of its contributors may be used to endorse or promote products derived from this "
+     "software without specific prior written permission",
+     "may be used to endorse or promote products derived from this software without"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display the following "
+     "acknowledgement", "advertising materials mentioning features or use of this software must display"),
+    ("isc", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby "
+     "granted provided that the above copyright notice and this permission notice appear in all copies",
+     "permission to use copy modify and distribute this software"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the "
+     "software and accompanying documentation covered by this license",
+     "permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be "
+     "held liable for any damages arising from the use of this software",
+     "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software either in source "
+     "code form or as a compiled binary", "anyone is free to copy modify publish use compile sell or distribute"),
+    ("epl-2.0", "this program and the accompanying materials are made available under the terms of the eclipse public "
+     "license 2 0 which is available at https www eclipse org legal epl 2 0", "eclipse org legal epl 2 0"),
+    ("epl-1.0", "all rights reserved this program and the accompanying materials are made available under the terms of "
+     "the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org "
+     "legal epl v10 html", "eclipse org legal epl v10"),
+    ("artistic-1.0", "you may redistribute it and or modify it under the same terms as perl itself",
+     "under the same terms as perl"),
+)
+
+#: SPDX tags.
+SPDX = (
+    "Apache-2.0 Apache-1.1 GPL-1.0 GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 MIT ISC BSD-2-Clause BSD-3-Clause "
+    "BSD-4-Clause MPL-1.1 MPL-2.0 EPL-1.0 EPL-2.0 Artistic-1.0 Artistic-2.0 BSL-1.0 BUSL-1.1 CDDL-1.0 CDDL-1.1 CC0-1.0 "
+    "CC-BY-3.0 CC-BY-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-NC-ND-4.0 Unlicense "
+    "Zlib WTFPL EUPL-1.2 OFL-1.1 MS-PL 0BSD PostgreSQL NCSA UPL-1.0").split()
+
+#: The index: (label, words, key phrase inside them).
+TEMPLATES = tuple(dict.fromkeys([
+    *SENTENCES, *NOTICES, *_gnu(), *_creative_commons(), *_named(),
+    *[(x.lower(), f"spdx license identifier {_plain(x)}", f"spdx license identifier {_plain(x)}") for x in SPDX]]))
+#: Words looked up: the file's rarest, and those of a key phrase that may stand there; how many must agree on a start.
+RAREST, ANCHORS, AGREE = 8, 3, 2
 
 
 def _words(text: Column) -> Column:
@@ -73,84 +204,117 @@ def _starts_here(words: Column, phrase: list[str], shift: int = 0):
     return lambda at: _stands(words, at + shift, phrase)
 
 
-def _best_share(words: Column, seen: Column, template: str, key: str, chosen: list[str]) -> Column:
-    """Largest share of the template's words in place, over the verified starts; null without one."""
-    listed = template.split()
-    key_at = template[:template.index(key)].count(" ")
+def _bind(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once, though a lambda uses it for each element."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
-    def starts_of(anchor: str, place: int) -> Column:
-        # A posting: the anchor stands at this place of the template.
-        return F.transform(F.filter(seen, lambda i: F.get(words, i) == anchor), lambda i: i - place)
-
-    starts = F.flatten(F.array(*[starts_of(x, q) for q, x in enumerate(listed) if x in chosen]))
-    need = min(AGREE, len(chosen))
-    agreed = F.array_distinct(F.filter(starts, lambda s: F.size(F.filter(starts, lambda x: x == s)) >= need))
-
-    def share(s: Column) -> Column:
-        hits = [F.when((s + q >= 0) & (F.get(words, s + q) == x), 1).otherwise(0) for q, x in enumerate(listed)]
-        return sum(hits[1:], hits[0]) / F.lit(float(len(listed)))
 
-    return F.array_max(F.transform(F.filter(agreed, _starts_here(words, key.split(), key_at)), share))
+def vocabulary() -> list[str]:
+    return sorted({w for _, t, _ in TEMPLATES for w in t.split()} | {w for b, _ in BASE for w in b.split()})
 
 
-def vocabulary() -> list[str]:
-    return sorted({w for _, t, _ in TEMPLATES for w in t.split()})
+def _texts(words: list[str]) -> Column:
+    return F.split(F.lit(" ".join(words)), " ")
 
 
 def word_idf(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
     """IDF of every licence word over all documents: one row per licence word comes back."""
     vocab = vocabulary()
-    text = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, LOWER)
-    gap = "[^" + r"0-9a-z\x80-\x{10FFFF}" + "]"
-    # One flag per word and document, summed by partial aggregation: one row per task is shuffled.
-    padded = F.concat(F.lit(" "), F.regexp_replace(text, gap + "+", " "), F.lit(" "))
-    rows = docs.select(padded.alias("t")).agg(
-        F.count("*").alias("n"), *[F.sum(F.col("t").contains(f" {w} ").cast("long")).alias(f"w{i}")
-                                   for i, w in enumerate(vocab)])
-    row = rows.first()
-    return {w: math.log((row["n"] + 1) / ((row[f"w{i}"] or 0) + 1)) for i, w in enumerate(vocab)}
+    # The empty word counts the documents. Partial aggregation: one row per task and word is shuffled.
+    held = F.concat(F.array(F.lit("")), F.array_intersect(_texts(vocab), _words(F.col(text_col))))
+    found = {r["w"]: r["n"] for r in docs.select(F.explode(held).alias("w")).groupBy("w").agg(
+        F.count("*").alias("n")).collect()}
+    return {w: math.log((found.get("", 0) + 1) / (found.get(w, 0) + 1)) for w in vocab}
+
+
+def index(idf: dict[str, float]) -> Column:
+    """The templates, grouped by the rarest word of their key phrase (in each key phrase the rarest come first)."""
+    groups: dict[str, list[str]] = {}
+    for label, template, key in TEMPLATES:
+        rare = sorted(set(key.split()), key=lambda w: (-idf[w], w))
+        groups.setdefault(rare[0], []).append(
+            f"named_struct('label', '{label}', 'words', split('{template}', ' '), 'rare', split('{' '.join(rare)}', ' '), "
+            f"'key', split('{key}', ' '), 'key_at', {template[:template.index(key)].count(' ')})")
+    # One expression of literals, folded when the query is planned.
+    return F.expr("array(" + ", ".join(f"named_struct('word', '{w}', 'templates', array({', '.join(ts)}))"
+                                       for w, ts in groups.items()) + ")")
+
+
+def _best_share(words: Column, places: Column, looked: Column, t: Column) -> Column:
+    """Largest share of the template's words in place, over the verified starts; null without one.
+
+    ``places`` are those of the words looked up."""
+    listed, key, key_at = t["words"], t["key"], t["key_at"]
+    # Postings: the places of a template at which a word that is looked up stands.
+    postings = F.filter(F.sequence(F.lit(0), F.size(listed) - 1), lambda q: F.array_contains(looked, F.get(listed, q)))
+    starts = F.flatten(F.transform(postings, lambda q: F.transform(
+        F.filter(places, lambda i: F.get(words, i) == F.get(listed, q)), lambda i: i - q)))
+    need = F.least(F.lit(AGREE), F.size(t["rare"]))
+
+    def agreed(s: Column) -> Column:
+        # Sorted, so equal starts stand together.
+        at = F.when(F.size(s) > 0, F.filter(s, lambda x, j: F.get(s, j + need - 1) == x))
+        return F.array_distinct(at)
+
+    def stands(s: Column) -> Column:
+        return F.size(F.filter(key, lambda x, q: F.get(words, s + key_at + q) == x)) == F.size(key)
 
+    def share(s: Column) -> Column:
+        hits = F.filter(listed, lambda x, q: F.get(words, s + q) == x)
+        return F.size(hits) / F.size(listed).cast("double")
 
-def anchors(idf: dict[str, float]) -> list[list[str]]:
-    """Per template the words of its key phrase of highest IDF, ties by word: where the phrase stands, all of them do."""
-    return [sorted(set(k.split()), key=lambda w: (-idf[w], w))[:ANCHORS] for _, _, k in TEMPLATES]
+    return F.array_max(F.transform(F.filter(_bind(F.sort_array(starts), agreed), stands), share))
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Adds n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    chosen = anchors(word_idf(docs, text_col))
-    p = "_l_"
+    idf = word_idf(docs, text_col)
+    table, p = index(idf), "_l_"
+    by_idf = _texts(sorted(idf, key=lambda w: (-idf[w], w)))
     df = docs.withColumn(p + "w", _words(F.col(text_col)))
     w = F.col(p + "w")
-    lead = sorted({b.split()[0] for b, _ in BASE} | {a for c in chosen for a in c})
-    df = df.withColumn(p + "o", _places(w, lead))
-    seen = F.col(p + "o")
+    # The file's licence words, the rarest first.
+    df = df.withColumn(p + "h", F.array_intersect(by_idf, w))
+    held = F.col(p + "h")
 
+    lead = sorted({b.split()[0] for b, _ in BASE})
+    df = df.withColumn(p + "o", F.when(F.arrays_overlap(held, _texts(lead)), _places(w, lead)))
     for k, (phrase, _) in enumerate(BASE):
-        df = df.withColumn(f"{p}b{k}", F.filter(seen, _starts_here(w, phrase.split())))
+        df = df.withColumn(f"{p}b{k}", F.filter(F.col(p + "o"), _starts_here(w, phrase.split())))
     base = [F.col(f"{p}b{k}") for k in range(len(BASE))]
 
-    for k, (_, template, key) in enumerate(TEMPLATES):
-        df = df.withColumn(f"{p}t{k}", _best_share(w, seen, template, key, chosen[k]))
-    found = [F.col(f"{p}t{k}") for k in range(len(TEMPLATES))]
-
-    def listed(pairs) -> Column:
-        hits = F.array(*[F.when(cond, F.lit(name)) for cond, name in pairs])
-        return F.array_join(F.array_sort(F.array_distinct(F.array_compact(hits))), ",")
-
-    base_pairs = [(F.size(c) > 0, name) for c, (_, name) in zip(base, BASE, strict=True)]
-    more = [(c.isNotNull(), t[0]) for c, t in zip(found, TEMPLATES, strict=True)]
+    def found(ts: Column) -> Column:
+        looked = F.array_distinct(F.concat(F.slice(held, 1, RAREST), F.flatten(
+            F.transform(ts, lambda t: F.slice(t["rare"], 1, ANCHORS)))))
+        return _bind(looked, lambda ws: _bind(
+            F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(ws, F.get(w, i))),
+            lambda places: F.filter(F.transform(ts, lambda t: F.struct(
+                t["label"].alias("label"), _best_share(w, places, ws, t).alias("share"))),
+                lambda x: x["share"].isNotNull())))
+
+    # Templates whose key phrase has all its words in the file.
+    groups = F.filter(table, lambda g: F.array_contains(held, g["word"]))
+    whole = F.filter(F.flatten(F.transform(groups, lambda g: g["templates"])), lambda t: F.forall(
+        t["rare"], lambda x: F.array_contains(held, x)))
+    df = df.withColumn(p + "t", _bind(whole, lambda ts: F.when(F.size(ts) > 0, found(ts))))
+    shares = F.coalesce(F.transform(F.col(p + "t"), lambda x: x["share"]), F.array().cast("array<double>"))
+    more = F.coalesce(F.transform(F.col(p + "t"), lambda x: x["label"]), F.array().cast("array<string>"))
+
+    def listed(names: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(names)), ",")
+
+    named = F.array_compact(F.array(*[F.when(F.size(c) > 0, F.lit(name))
+                                      for c, (_, name) in zip(base, BASE, strict=True)]))
     places = F.flatten(F.array(*[F.coalesce(c, F.array().cast("array<int>")) for c in base]))
     df = (df.withColumn("n_words", F.size(w).cast("long"))
           .withColumn("n_base", F.size(places).cast("long"))
           .withColumn("first_word", F.array_min(places).cast("long"))
           .withColumn("last_word", F.array_max(places).cast("long"))
-          .withColumn("base_labels", listed(base_pairs))
-          .withColumn("labels", listed(base_pairs + more)))
-    best = F.greatest(F.lit(0.0), *[F.coalesce(c, F.lit(0.0)) for c in found])
+          .withColumn("base_labels", listed(named))
+          .withColumn("labels", listed(F.concat(named, more))))
+    best = F.coalesce(F.array_max(shares), F.lit(0.0))
     df = df.withColumn("score", F.greatest(best, F.when(F.col("n_base") > 0, 0.5).otherwise(0.0)))
-    drop = [p + "w", p + "o"] + [f"{p}b{k}" for k in range(len(BASE))] + [f"{p}t{k}" for k in range(len(TEMPLATES))]
-    return df.drop(*drop)
+    return df.drop(p + "w", p + "h", p + "o", p + "t", *[f"{p}b{k}" for k in range(len(BASE))])
 
 
 COLUMNS = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")

@@ -159,6 +159,30 @@ def test_licence_base_matches_brute_force(spark):
     assert licences.scan(frame(spark, [])).count() == 0
 
 
+NOTICES = {
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+    "any later version.": "lgpl,lgpl-2.1",
+    "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007": "agpl,agpl-3.0",
+    "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of "
+    "the License": "gpl,gpl-2.0", "GNU Lesser General Public License": "lgpl", "GNU GPLv2 or GPL-v3": "gpl-2.0,gpl-3.0",
+    "the Apache License 2.0": "apache,apache-2.0", "Eclipse Public License - v 2.0": "epl,epl-2.0",
+    "a Creative Commons Attribution-ShareAlike 4.0 International License": "cc,cc-by-sa-4.0", "CC BY-SA 3.0": "cc-by,cc-by-sa-3.0",
+    "CC0 1.0 Universal": "cc0-1.0", "The Artistic License 2.0": "artistic,artistic-2.0",
+    "Boost Software License - Version 1.0": "bsl,bsl-1.0", "SPDX-License-Identifier: BSD-2-Clause": "bsd-2-clause",
+    "CC BY 4.0": "cc-by,cc-by-4.0"}
+
+
+def test_licences_beyond_the_given_documents(spark):
+    texts = [*NOTICES, " and ".join(NOTICES), "license " * 20000 + "GNU Lesser General Public License, version 3"]
+    got = [(r["labels"], r["score"]) for r in licences.scan(frame(spark, texts).drop("n_words")).orderBy("doc_id").collect()]
+    assert [x for x, _ in got[:-2]] == list(NOTICES.values())
+    # a file that holds all of them loses none to the files' rarest words
+    assert set(got[-2][0].split(",")) == {x for labels in NOTICES.values() for x in labels.split(",")}
+    assert got[-1][0] == "lgpl,lgpl-3.0"
+    assert all(0 < x <= 1 for _, x in got) and got[0][1] > 0.9
+
+
 TRICKY = st.lists(st.sampled_from(["### ", "</turn>", "\n", "\\", ": ", "Assistant", "x", " ", "#", ":", "é"]),
                   max_size=12).map("".join)
 
