@@ -9,7 +9,10 @@ values stay different. A card's check digit is computed anew; dates are day numb
 
 Found: e-mail addresses, IPv4 addresses, phone numbers (behind +country any number of 8 to 15
 digits with the usual separators, its national digits permuted in place; without it the North American shape), card numbers, US social security numbers,
-ISO dates, access keys, and values of token/password/secret/api_key assignments.
+dates (ISO, 12.03.1999, 12/03/1999, and with English, German, French or Spanish month names; one date has one pseudonym
+in all of these but the slashed form, whose order is unknown: there the numbers stay dates in the readings they had, so
+the 29th of February, and days from 29 and 31 on, stay such), access keys, and values of token/password/secret/api_key
+assignments (the characters _ - . / + = inside a value stay).
 
 Defined results: a null text stays null with no finds; empty texts stay empty; repeated rows get the same text; an empty
 table gives no rows; all other columns are kept as they are.
@@ -29,7 +32,21 @@ OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 DATE = r"(?<![0-9-])(?:1[89]|2[01])[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"
-CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])"
+CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
+#: Month names as they are written (English, short, German, French, Spanish).
+MONTHS = ("January February March April May June July August September October November December "
+          "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec "
+          "Januar Februar März April Mai Juni Juli August September Oktober November Dezember "
+          "janvier février mars avril mai juin juillet août septembre octobre novembre décembre "
+          "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre").split()
+YEAR, DAY, NAME = "(?:1[89]|2[01])[0-9]{2}", "(?:0?[1-9]|[12][0-9]|3[01])", "|".join(sorted(set(MONTHS), key=lambda x: (-len(x), x)))
+DOTTED = rf"(?<![0-9.]){DAY}\.(?:0?[1-9]|1[0-2])\.{YEAR}(?![0-9]|\.[0-9])"
+SLASHED = rf"(?<![0-9/]){DAY}/{DAY}/{YEAR}(?![0-9/])"
+NAME_FIRST = rf"(?<![A-Za-z])(?=[JFMASOND])(?:{NAME})\.? {DAY},? {YEAR}(?![0-9])"
+DAY_FIRST = rf"(?<![0-9.,]){DAY}(?:\. ?| | de )(?:{NAME})\.?(?: | de ){YEAR}(?![0-9])"
+WORDED = rf"{NAME_FIRST}|{DAY_FIRST}"
+#: Fixed value: months of 31 days.
+LONG_MONTHS = (1, 3, 5, 7, 8, 10, 12)
 #: Country codes (ITU-T E.164; any other is taken as up to three digits) and the usual separators.
 COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3})"
 SEPARATOR = r"[ \u00a0\u202f./\u2010\u2011\u2013-]"
@@ -57,10 +74,14 @@ PHONE = rf"{_phone()}|{LOCAL}"
 #: What stands before a number's national digits, with a trunk zero in brackets.
 BEFORE_NATIONAL = rf"^(?:\+0{{0,3}}{COUNTRY}{SEPARATOR}{{0,3}}(?:\(0\))?|1)"
 KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
-SECRET = r"(?<![A-Za-z0-9])(?i:token|password|passwd|secret|api[_-]?key)[ ]?[=:][ ]?\"?[A-Za-z0-9]{8,}"
-ANY = "|".join((EMAIL, SECRET, KEY, IP, PHONE, SSN, DATE, CARD))
+SECRET = (r"(?<![A-Za-z0-9])(?i:token|password|passwd|secret|api[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?"
+          r"[A-Za-z0-9_./+=-]{7,}[A-Za-z0-9]")
+SECRET_START = r"^[^=:]*[=:][ ]?[\"']?"
+#: All of them; the first character is looked at before the patterns are tried.
+ANY = "|".join((EMAIL, rf"(?=[APSTapst])(?:{SECRET}|{KEY})",
+                rf"(?=[0-9+(])(?:{IP}|{PHONE}|{SSN}|{DATE}|{DOTTED}|{SLASHED}|{DAY_FIRST}|{CARD})", NAME_FIRST))
 
-KINDS = ("email", "ip", "phone", "ssn", "date", "card", "key", "secret")
+KINDS = ("email", "ip", "phone", "ssn", "date", "slash", "card", "key", "secret")
 
 
 def _chars(text: Column) -> Column:
@@ -113,11 +134,32 @@ def permute(symbols: Column, radices: Column, form: Column, key: str) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), symbols, one)
 
 
+def _iso(m: Column) -> Column:
+    """A date of any form but the slashed as year-month-day."""
+    name = F.regexp_extract(m, rf"(?<![A-Za-z])({NAME})(?![a-z])", 1)
+    month = (F.array_position(F.split(F.lit(" ".join(MONTHS)), " "), name) - 1) % 12 + 1
+    day = F.regexp_extract(m, rf"(?<![0-9])({DAY})(?![0-9])", 1)
+    return (F.when(m.rlike(f"^(?:{DATE})$"), m)
+            .when(m.rlike(f"^(?:{DOTTED})$"), F.regexp_replace(m, r"^([0-9]+)\.([0-9]+)\.([0-9]+)$", "$3-$2-$1"))
+            .when(m.rlike(f"^(?:{WORDED})$"), F.concat_ws("-", F.substring(m, -4, 4), month.cast("string"), day)))
+
+
+def _slashed(m: Column) -> tuple[Column, Column, Column, Column]:
+    """(day, month, year, day first) of a slashed date; day first where both readings are dates."""
+    a, b, year = (F.get(F.split(m, "/"), F.lit(k)).try_cast("int") for k in range(3))
+    first = b <= 12
+    return F.when(first, a).otherwise(b), F.when(first, b).otherwise(a), year, first
+
+
 def _kind(m: Column) -> Column:
     plain = F.when(m.contains("@"), "email").when(m.rlike(f"^(?:{IP})$"), "ip").when(
         m.startswith("+") | m.rlike(f"^(?:{LOCAL})$"), "phone")
     plain = plain.when(m.rlike(f"^(?:{SSN})$"), "ssn")
     plain = plain.when(m.rlike(f"^(?:{DATE})$"), F.when(m.try_cast("date").isNotNull(), "date"))
+    plain = plain.when(m.rlike(f"^(?:{DOTTED}|{WORDED})$"), F.when(_iso(m).try_cast("date").isNotNull(), "date"))
+    day, month, year, _ = _slashed(m)
+    plain = plain.when(m.rlike(f"^(?:{SLASHED})$"), F.when(
+        F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string")).try_cast("date").isNotNull(), "slash"))
     plain = plain.when(m.rlike("^[0-9]"), F.when(luhn_sum(_digits(m), False) % 10 == 0, "card"))
     return plain.when(m.rlike("^AKIA[0-9A-Z]{16}$"), "key").otherwise("secret")
 
@@ -129,7 +171,48 @@ def _varying(m: Column, kind: Column) -> Column:
             .when(kind == "card", 
                   F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - 1))
             .when(kind == "key", F.substring(m, 5, 16))
-            .otherwise(F.regexp_extract(m, "([A-Za-z0-9]+)$", 1)))
+            .otherwise(F.regexp_replace(m, SECRET_START, "")))
+
+
+def _padded(m: Column, number: Column) -> Column:
+    """A day or month number, of two digits unless the value has one of one digit."""
+    short = m.rlike("(?:^|[./ ])[0-9](?:[^0-9]|$)")
+    return F.when(short, number.cast("string")).otherwise(F.lpad(number.cast("string"), 2, "0"))
+
+
+def _written(m: Column, date: Column) -> Column:
+    """The date in the form in which ``m`` is written, month names in its language."""
+    day, month, year = _padded(m, F.dayofmonth(date)), F.month(date), F.date_format(date, "yyyy")
+    name = F.regexp_extract(m, rf"(?<![A-Za-z])({NAME})(?![a-z])", 1)
+    names = F.split(F.lit(" ".join(MONTHS)), " ")
+    at = F.array_position(names, name) - 1
+    german = m.rlike(r"^[0-9]+\.") & F.array_contains(F.slice(names, 25, 12), name)
+    tongue = F.when(german, 2).otherwise(F.floor(at / 12)).cast("int")
+    worded = F.regexp_replace(F.regexp_replace(m, F.lit("[0-9]{4}$"), year), F.lit("(?<![0-9])[0-9]{1,2}(?![0-9])"), F.when(
+        m.rlike("(?<![0-9])0[0-9](?![0-9])"), day).otherwise(F.dayofmonth(date).cast("string")))
+    return (F.when(m.rlike(f"^(?:{DATE})$"), F.date_format(date, "yyyy-MM-dd"))
+            .when(m.rlike(f"^(?:{DOTTED})$"), F.concat_ws(".", day, _padded(m, month), year))
+            .otherwise(F.regexp_replace(worded, F.lit(rf"(?<![A-Za-z])(?:{NAME})(?![a-z])"),
+                                        F.get(names, tongue * 12 + month - 1))))
+
+
+def _leap_years() -> Column:
+    """The 97 leap years of 1800 to 2199."""
+    return F.filter(F.sequence(F.lit(1804), F.lit(2196), F.lit(4)), lambda v: ~v.isin(1900, 2100))
+
+
+def _written_slashed(m: Column, out: Column) -> Column:
+    day, month, _, first = _slashed(m)
+    x, y = F.get(out, F.lit(0)), F.get(out, F.lit(1))
+    year = F.element_at(out, -1) + 1800
+    leap = F.get(_leap_years(), x)
+    new_day = F.when(day <= 28, x + 13).when(day == 31, 31).when(month == 2, 29).otherwise(x + 29)
+    new_month = (F.when(day <= 28, y + 1).when(day == 31, F.get(F.array(*map(F.lit, LONG_MONTHS)), x))
+                 .when(month == 2, 2).otherwise(F.when(y == 0, 1).otherwise(y + 2)))
+    a = F.when(day <= 12, x + 1).when(first, new_day).otherwise(new_month)
+    b = F.when(day <= 12, y + 1).when(first, new_month).otherwise(new_day)
+    return F.concat_ws("/", _padded(m, a), _padded(m, b), F.when(
+        (day == 29) & (month == 2), leap).otherwise(year).cast("string"))
 
 
 def pseudonym(m: Column, key: str) -> Column:
@@ -137,15 +220,15 @@ def pseudonym(m: Column, key: str) -> Column:
 
     def by_kind(kind: Column) -> Column:
         text = _varying(m, kind)
-        hexed = (kind == "secret") & text.rlike("^[0-9a-f]+$")
-        numbers = F.split(m, "[.-]").cast("array<int>")
+        hexed = (kind == "secret") & text.rlike("^[0-9a-f_./+=-]+$")
+        numbers = F.when(kind.isin("ip", "ssn"), F.split(m, "[.-]")).cast("array<int>")
         area = F.get(numbers, F.lit(0))
-        day = F.datediff(m.try_cast("date"), F.lit(FIRST_DAY).cast("date"))
+        day = F.datediff(_iso(m).try_cast("date"), F.lit(FIRST_DAY).cast("date"))
         # Digits of a phone number that may not take every value.
         local = (kind == "phone") & ~m.startswith("+")
         single = (kind == "phone") & m.rlike(r"^\+[^(]*\([1-9]\)")  # a single digit in brackets; 0 is the trunk's
         as_chars = F.transform(_chars(text), lambda c, i: F.when(
-            hexed, F.struct(F.conv(F.when(hexed, c), 16, 10).cast("int").alias("s"), F.lit(16).alias("r"))
+            hexed & c.rlike("[0-9a-f]"), F.struct(F.conv(F.when(hexed, c), 16, 10).cast("int").alias("s"), F.lit(16).alias("r"))
         ).when(local & i.isin(0, 3), F.struct((F.ascii(c) - 50).alias("s"), F.lit(8).alias("r"))
                ).when(single & (i == 0), F.struct((F.ascii(c) - 49).alias("s"), F.lit(9).alias("r"))
                       ).otherwise(_class(c)))
@@ -154,11 +237,23 @@ def pseudonym(m: Column, key: str) -> Column:
             return F.array(*[F.struct(F.lit(s).cast("int").alias("s") if isinstance(s, int) else
                                       s.cast("int").alias("s"), F.lit(r).alias("r")) for s, r in both])
 
+        # Slashed dates are permuted within sets that are dates in the same readings as before.
+        sd, sm, sy, day_first = _slashed(m)
+        years = (sy - 1800, 400)
+        leap = F.array_position(_leap_years(), sy) - 1
+        slash = (F.when(sd <= 12, pairs((F.when(day_first, sd).otherwise(sm) - 1, 12),
+                                        (F.when(day_first, sm).otherwise(sd) - 1, 12), years))
+                 .when(sd <= 28, pairs((sd - 13, 16), (sm - 1, 12), years))
+                 .when(sd == 31, pairs((F.array_position(F.array(*map(F.lit, LONG_MONTHS)), sm) - 1, 7), years))
+                 .when(sm == 2, pairs((leap, 97)))
+                 .otherwise(pairs((sd - 29, 2), (F.when(sm == 1, 0).otherwise(sm - 2), 11), years)))
+
         symbols = (F.when(kind == "ip", F.transform(numbers, lambda x: F.struct(x.alias("s"), F.lit(256).alias("r"))))
                    .when(kind == "ssn", pairs((area - F.when(area > 666, 2).otherwise(1), 898),
                                               (F.get(numbers, F.lit(1)) - 1, 99), (F.get(numbers, F.lit(2)) - 1, 9999)))
                    .when(kind == "date", pairs((F.floor(day / DATE_RADICES[1]), DATE_RADICES[0]),
                                                (day % DATE_RADICES[1], DATE_RADICES[1])))
+                   .when(kind == "slash", slash)
                    .otherwise(as_chars))
 
         def shown(sr: Column) -> Column:
@@ -169,7 +264,7 @@ def pseudonym(m: Column, key: str) -> Column:
 
         def rendered(out: Column, radices: Column) -> Column:
             chars = F.transform(_chars(text), lambda c, i: F.when(
-                hexed, F.lower(F.conv(F.get(out, i).cast("string"), 10, 16)))
+                hexed & c.rlike("[0-9a-f]"), F.lower(F.conv(F.get(out, i).cast("string"), 10, 16)))
                 .when(local & i.isin(0, 3), F.char(F.get(out, i) + 50))
                 .when(single & (i == 0), F.char(F.get(out, i) + 49))
                 .when(c.rlike("[0-9]"), F.char(F.get(out, i) + 48)).when(c.rlike("[a-z]"), F.char(F.get(out, i) + 97))
@@ -184,13 +279,13 @@ def pseudonym(m: Column, key: str) -> Column:
             a = F.when(a >= 665, a + 2).otherwise(a + 1)
             return (F.when(kind == "ip", F.array_join(out.cast("array<string>"), "."))
                     .when(kind == "ssn", F.format_string("%03d-%02d-%04d", a, g + 1, s + 1))
-                    .when(kind == "date", F.date_format(F.date_add(
-                        F.lit(FIRST_DAY).cast("date"), F.get(out, F.lit(0)) * DATE_RADICES[1] + F.get(out, F.lit(1))),
-                        "yyyy-MM-dd"))
+                    .when(kind == "date", _written(m, F.date_add(
+                        F.lit(FIRST_DAY).cast("date"), F.get(out, F.lit(0)) * DATE_RADICES[1] + F.get(out, F.lit(1)))))
+                    .when(kind == "slash", _written_slashed(m, out))
                     .when(kind.isin("phone", "card"), spread)
                     .when(kind == "email", F.concat(joined, F.regexp_extract(m, r"(\.[^.]*)$", 1)))
                     .when(kind == "key", F.concat(F.lit("AKIA"), joined))
-                    .otherwise(F.concat(F.regexp_extract(m, "^(.*?)[A-Za-z0-9]+$", 1), joined)))
+                    .otherwise(F.concat(F.regexp_extract(m, f"({SECRET_START})", 1), joined)))
 
         # A one-element array binds the symbols, so that they are worked out once.
         return F.get(F.transform(F.array(symbols), shown), F.lit(0))

@@ -122,6 +122,41 @@ def test_phone_pseudonyms_stay_different(spark):
     assert all(re.fullmatch(pii.PHONE, x) for x in new)
 
 
+def test_written_dates_secrets_and_cards(spark):
+    dates = ["1999-03-12", "12.03.1999", "12. März 1999", "March 12, 1999", "12 mars 1999", "12 de marzo de 1999", "12 Mar 1999"]
+    slashed = ["12/03/1999", "25/03/1999", "03/25/1999", "31/01/2001", "30/4/2001", "29/02/2000", "3/4/1999"]
+    secrets = ["api_key=sk_live_51HabcDEF9", '"api_key": "Zx81-abcd_efgh"', "token=abcdefgh-rest", "password: 'ab+cd/ef=gh'",
+               "token=550e8400-e29b-41d4-a716-446655440000"]
+    cards = ["3782 822463 10005", "3782-822463-10005"]
+    left = ["31.02.1999", "30/02/1999", "13/13/1999", "February 30, 1999", "3782 822463 10006", "1.2.3", "May 5", "token=a-b"]
+    texts = [f"x {v} y" for v in dates + slashed + secrets + cards + left]
+    got = pii.pseudonymise(frame(spark, texts), "k").orderBy("doc_id").collect()
+    new = [r["text"][2:-2] for r in got]
+    assert [r["n_pii"] for r in got] == [1] * (len(texts) - len(left)) + [0] * len(left)
+    assert new[-len(left):] == left and all(a != b for a, b in zip(new, dates + slashed + secrets + cards))
+    day = datetime.date.fromisoformat(new[0])
+    assert new[1] == f"{day:%d.%m.%Y}" and new[3] == f"{day:%B} {day.day}, {day:%Y}" and new[6] == f"{day.day} {day:%b} {day:%Y}"
+    month = [pii.MONTHS[12 * k + day.month - 1] for k in (2, 3, 4)]
+    assert new[2] == f"{day.day}. {month[0]} {day.year}" and new[4] == f"{day.day} {month[1]} {day.year}"
+    assert new[5] == f"{day.day} de {month[2]} de {day.year}"
+    parts = [[int(x) for x in v.split("/")] for v in new[7:14]]
+    for k, (a, b, y) in enumerate(parts):
+        assert datetime.date(y, a, b) if k == 2 else datetime.date(y, b, a)
+    assert parts[1] == [parts[2][1], parts[2][0], parts[2][2]] and datetime.date(parts[0][2], *parts[0][:2])
+    for old, v in zip(secrets, new[14:19]):
+        assert re.sub("[A-Za-z0-9]", "#", old) == re.sub("[A-Za-z0-9]", "#", v) and old[-4:] != v[-4:]
+    assert re.fullmatch("token=[0-9a-f-]{36}", new[18]) and "rest" not in new[16]
+    assert luhn(new[19]) and new[19] == new[20].replace("-", " ")
+
+
+def test_slashed_dates_stay_different(spark):
+    start = datetime.date(1999, 1, 1)
+    days = [start + datetime.timedelta(d) for d in range(800)]
+    rows = sorted({f"{d:%d/%m/%Y}" for d in days} | {f"{d:%m/%d/%Y}" for d in days}) + [f"29/02/{y}" for y in (1804, 1996, 2196)]
+    new = [r["text"] for r in pii.pseudonymise(frame(spark, rows), "k").collect()]
+    assert len(set(new)) == len(rows) and all(re.fullmatch(pii.SLASHED, x) for x in new)
+
+
 def test_feistel_is_a_permutation(spark):
     # every social security number of one group: 898 areas, all distinct afterwards
     areas = [a for a in range(1, 900) if a != 666]
