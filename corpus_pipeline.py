@@ -16,6 +16,8 @@ from bizlens.llm.work import written
 PII_KEY = "change-me"
 SHINGLE, DISTANCE = 4, 4
 MAX_TOKENS, END_ID = 2048, 0
+#: Documents a sequence may hold. (No attention-cost limit below MAX_TOKENS squared would admit a full piece.)
+MAX_DOCS = 32
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,8 @@ def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces with their sequences and offsets."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), MAX_TOKENS, END_ID)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), MAX_TOKENS, END_ID,
+                                  max_docs=MAX_DOCS)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("pseudonyms", pseudonyms),

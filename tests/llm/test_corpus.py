@@ -171,6 +171,13 @@ def test_pipeline_stages_keep_the_columns_of_documents(spark):
     assert corpus_pipeline.near_dedup(spark, twice, SMALL).count() == once.count()
 
 
+def test_pipeline_limits_the_documents_of_a_sequence(spark):
+    docs = spark.createDataFrame([(i, "word") for i in range(100)], "doc_id long, text string")
+    placed = corpus_pipeline.best_fit_packing(spark, docs, SMALL).collect()
+    assert sorted(r["doc_id"] for r in placed) == list(range(100))
+    assert max(Counter(r["sequence_id"] for r in placed).values()) <= 32
+
+
 def test_every_query_is_registered_with_its_oracle():
     names = __spark_entry__.queries()
     assert "pipeline" in names
