@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 #: The template's control strings.
@@ -81,32 +82,56 @@ def _bare(text: str, mark: str, at: int) -> int:
         at += 1
 
 
-def render_turn(role: str, text: str) -> tuple[str, int, int]:
-    """(rendered, from, to): the turn as text, escaped as little as reparsing it needs, and its text's span."""
-    for roles, texts in ((False, False), (False, True), (True, True)):
-        shown = escape_role(role) if roles else role
-        rendered = f"{HEAD}{shown}{MIDDLE}{escape(text) if texts else text}{END}"
+#: The steps of escaping, as (role escaped, text escaped).
+STEPS = ((False, False), (False, True), (True, True))
+
+
+def written_turn(role: str, text: str, step: int) -> str:
+    roles, texts = STEPS[step]
+    return f"{HEAD}{escape_role(role) if roles else role}{MIDDLE}{escape(text) if texts else text}{END}"
+
+
+def escape_step(role: str, text: str) -> tuple[int, int, int]:
+    """(step, from, to): the least escaping with which the turn is read back, and its text's span."""
+    for step in range(len(STEPS)):
         try:
-            found = parse(rendered)
+            found = parse(written_turn(role, text, step))
         except ValueError:
             continue
         if len(found) == 1 and found[0][:2] == (role, text):
-            return rendered, found[0][2], found[0][3]
+            return step, found[0][2], found[0][3]
     raise AssertionError("a turn cannot be written so that it is read back")
 
 
+def render_turn(role: str, text: str) -> tuple[str, int, int]:
+    """(rendered, from, to): the turn as text, escaped as little as reparsing it needs, and its text's span."""
+    step, start, end = escape_step(role, text)
+    return written_turn(role, text, step), start, end
+
+
 def format_turns(conversations: DataFrame) -> DataFrame:
     """(conv_id, turn, rendered, trained): each turn as its piece of the conversation's text, in order within each
-    partition; ``trained`` marks the turns whose text is under the loss mask (the assistant's)."""
+    partition; ``trained`` marks the turns whose text is under the loss mask (the assistant's).
+
+    The reparsing that finds a turn's escaping is done where the turn is read; only its step goes with it."""
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    schema = "conv_id long, turn long, role string, text string"
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            steps = [escape_step(r, t)[0] for r, t in zip(b.column("role").to_pylist(), b.column("text").to_pylist(),
+                                                          strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(steps, pa.int32())], [*b.schema.names, "step"])
+
+    judged = rows.mapInArrow(judge, f"{schema}, step int")
+    ordered = judged.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            done = [render_turn(r, t) for r, t in zip(f["role"], f["text"], strict=True)]
-            yield pd.DataFrame({"conv_id": f["conv_id"], "turn": f["turn"], "rendered": [d[0] for d in done],
+            done = [written_turn(r, t, s) for r, t, s in zip(f["role"], f["text"], f["step"], strict=True)]
+            yield pd.DataFrame({"conv_id": f["conv_id"], "turn": f["turn"], "rendered": done,
                                 "trained": f["role"] == "assistant"})
 
     return ordered.mapInPandas(run, "conv_id long, turn long, rendered string, trained boolean")

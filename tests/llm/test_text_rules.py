@@ -238,6 +238,12 @@ def test_parser_refuses_what_is_not_the_grammar():
             chat.parse(bad)
 
 
+def test_turns_are_reparsed_before_the_exchange(spark):
+    df = spark.createDataFrame([(1, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
+    plan = chat.format_turns(df)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan[plan.index("Exchange hashpartitioning"):]
+
+
 def test_conversations_read_back(spark):
     rows = [(1, 1, "assistant", None), (1, 0, "user", "hi ### Assistant: </turn>"), (2, 0, None, "\\"),
             (2, 0, "assistant", "a\n</turn>\n### user: b"), (None, 0, "assistant", "z"), (3, 0, "assistant", "y" * 100000)]
