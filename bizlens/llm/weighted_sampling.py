@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from bizlens.llm.work import written
 
-SAMPLES = 64
+SAMPLES = 80
 #: Texts and characters fingerprinted at once: bounds of memory.
 TEXTS_AT_ONCE = 1000
 CHARS_AT_ONCE = 4_000_000

@@ -118,6 +118,17 @@ def test_collision_rate_is_generalised_jaccard():
     assert abs(np.mean(error)) < 0.02 and np.max(np.abs(error)) < 0.06
 
 
+def test_error_of_the_returned_likeness():
+    rng = np.random.default_rng(6)
+    assert 0.5 / weighted_sampling.SAMPLES ** 0.5 < 0.056
+    texts = [" ".join(f"w{x}" for x in rng.zipf(1.6, 300) % 400) for _ in range(40)]
+    texts += [weighted_sampling.edited(a, b) for a, b in zip(texts, texts[1:])]
+    sig = weighted_sampling.signatures([weighted_sampling.bag(t) for t in texts])
+    error = [float((sig[i] == sig[j]).mean()) - jaccard(texts[i], texts[j])
+             for i in range(len(texts)) for j in range(i)]
+    assert np.sqrt(np.mean(np.square(error))) < 0.062 and np.max(np.abs(error)) < 0.25
+
+
 def test_neighbours_match_brute_force(spark):
     rows = list(enumerate(TEXTS))
     got = {r["doc_id"]: r for r in weighted_sampling.neighbours(frame(spark, rows)).collect()}
