@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from bizlens.llm import (bpe, chat, licences, packing, pii, quality, sharding, simhash, token_files,
-                         weighted_sampling)
+from bizlens.llm import (adaptive_scan, bpe, chat, licences, packing, periodic, pii, quality, sharding, simhash, spelling,
+                         token_files, weighted_sampling)
 from bizlens.llm.work import documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,9 +61,52 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir, "doc_id", "text")).select(*licences.COLUMNS)
 
 
+def with_repeats(doc_id: Column, text: Column) -> Column:
+    """The text of every tenth document (by hash) with one stretch of its words repeated to the end, as op11 asks."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        at = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, at(i))), " "))
+
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    # A one-element array binds the words, so that the text is split once.
+    return F.when(h % 10 == 0, F.get(F.transform(F.array(words), repeated), F.lit(0))).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text").withColumn("text", with_repeats(F.col("doc_id"), F.col("text")))
+    best = F.col("best")
+    return periodic.find_runs(docs).withColumn("best", periodic.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *[best[f].alias(f) for f in ("start", "length", "period")],
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def misspelt(doc_id: int, word: str) -> str:
+    """Every 97th word of a document (by hash) without one letter, as op12 asks."""
+    h = crc32(f"{doc_id}:{word}".encode())
+    return word if h % 97 else word[:h % len(word)] + word[h % len(word) + 1:]
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = spelling.word_counts(documents(spark, sf_dir, "doc_id", "text"), changed=misspelt)
+    return spelling.variants(counts.where(F.col("n") >= spelling.MIN_COUNT))
+
+
+def op13_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return adaptive_scan.nearest(vectors, F.col("id") % 50 == 0, k=5)
+
+
 QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_bpe_round_trip, op3_quality_rules, op4_token_files,
                                   op5_chat_round_trip, op6_pii_pseudonyms, op7_histogram_shards,
-                                  op8_simhash_near_duplicates, op9_weighted_sampling, op10_licence_scan)}
+                                  op8_simhash_near_duplicates, op9_weighted_sampling, op10_licence_scan,
+                                  op11_periodic_runs, op12_spelling_variants, op13_adaptive_scan)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLE: dict[str, str] = {"op3_quality_rules": quality.SQL}
 if corpus_pipeline.ORACLE_SQL:
