@@ -12,22 +12,29 @@ digits with the usual separators, its national digits permuted in place; without
 dates (ISO, 12.03.1999, 12/03/1999, and with English, German, French or Spanish month names; one date has one pseudonym
 in all of these but the slashed form, whose order is unknown: there the numbers stay dates in the readings they had, so
 the 29th of February, and days from 29 and 31 on, stay such), access keys, and values of token/password/secret/api_key
-assignments (the characters _ - . / + = inside a value stay).
+assignments (the characters _ - . / + = inside a value stay; of a value beyond 4,096 characters the first 4,096 count).
 
 Defined results: a null text stays null with no finds; empty texts stay empty; repeated rows get the same text; an empty
-table gives no rows; all other columns are kept as they are.
+table gives no rows; a very long text takes time in proportion, whatever runs of letters, digits or labels it holds; all
+other columns are kept as they are, but for one that has the name of the count, which the count replaces.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from bizlens.llm.work import unused
+
 ROUNDS = 8
 #: Fixed value: days of the Gregorian cycle 1800-01-01 to 2199-12-31, as a product of two radices.
 DATE_RADICES = (189, 773)
 FIRST_DAY = "1800-01-01"
 
-EMAIL = r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+"
+#: Fixed values (RFC 1035, RFC 5321): a local part has at most 64 characters, a label 63. Quantifiers are bounded or
+#: possessive and an address starts only where a run of letters and digits does: matching is linear, without recursion.
+LETTERS = r"A-Za-z0-9\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+LABEL = r"[A-Za-z0-9]{1,63}+(?:-{1,61}+[A-Za-z0-9]{1,61}+){0,31}+"
+EMAIL = rf"(?<![{LETTERS}])[{LETTERS}][{LETTERS}._%+-]{{0,63}}+(?<=[{LETTERS}])@{LABEL}(?:\.{LABEL}){{1,9}}+"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IP = rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
@@ -75,11 +82,14 @@ PHONE = rf"{_phone()}|{LOCAL}"
 BEFORE_NATIONAL = rf"^(?:\+0{{0,3}}{COUNTRY}{SEPARATOR}{{0,3}}(?:\(0\))?|1)"
 KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 SECRET = (r"(?<![A-Za-z0-9])(?i:token|password|passwd|secret|api[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?"
-          r"[A-Za-z0-9_./+=-]{7,}[A-Za-z0-9]")
+          r"[A-Za-z0-9_./+=-]{7,4095}[A-Za-z0-9]")
 SECRET_START = r"^[^=:]*[=:][ ]?[\"']?"
 #: All of them; the first character is looked at before the patterns are tried.
-ANY = "|".join((EMAIL, rf"(?=[APSTapst])(?:{SECRET}|{KEY})",
-                rf"(?=[0-9+(])(?:{IP}|{PHONE}|{SSN}|{DATE}|{DOTTED}|{SLASHED}|{DAY_FIRST}|{CARD})", NAME_FIRST))
+NO_EMAIL = "|".join((rf"(?=[APSTapst])(?:{SECRET}|{KEY})",
+                     rf"(?=[0-9+(])(?:{IP}|{PHONE}|{SSN}|{DATE}|{DOTTED}|{SLASHED}|{DAY_FIRST}|{CARD})", NAME_FIRST))
+ANY = f"{EMAIL}|{NO_EMAIL}"
+#: Marks around finds; a text's own are escaped first. (Noncharacters: they stand in no pattern.)
+MARK, ESCAPE, MARKED = "\ufdd0", "\ufdd1", "\ufdd2"
 
 KINDS = ("email", "ip", "phone", "ssn", "date", "slash", "card", "key", "secret")
 
@@ -113,23 +123,34 @@ def _class(char: Column) -> Column:
             .otherwise(F.struct(F.lit(0).alias("s"), F.lit(1).alias("r"))))
 
 
+def _bind(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: the element of a one-element array (lambdas read it as a variable)."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def permute(symbols: Column, radices: Column, form: Column, key: str) -> Column:
-    """Alternating Feistel network over symbols (array<int>) of the given radices; ``form`` names the format."""
-    n = F.size(symbols)
+    """Alternating Feistel network over symbols (array<int>) of the given radices (a bound array); ``form`` names the
+    format."""
+    n = F.size(radices)
     half = F.ceil(n / 2).cast("int")
 
     def one(state, rnd):
         left = rnd % 2 == 0
         other = F.array_join(F.when(left, F.slice(state, half + 1, n)).otherwise(
             F.slice(state, F.lit(1), half)).cast("array<string>"), ",")
+        hashed = F.sha2(F.concat_ws("|", F.lit(key), form, rnd.cast("string"), other), 256)
 
-        def shift(s, i):
-            turn = F.sha2(F.concat_ws("|", F.lit(key), form, rnd.cast("string"), i.cast("string"), other), 256)
-            by = F.conv(F.substring(turn, 1, 15), 16, 10).cast("long")
-            moves = F.when(left, i < half).otherwise(i >= half)
-            return F.when(moves, F.pmod(s + by, F.get(radices, i).cast("long")).cast("int")).otherwise(s)
+        def shifted(digest):
+            def shift(s, i):
+                turn = F.sha2(F.concat_ws("|", digest, i.cast("string")), 256)
+                by = F.conv(F.substring(turn, 1, 15), 16, 10).cast("long")
+                moves = F.when(left, i < half).otherwise(i >= half)
+                return F.when(moves, F.pmod(s + by, F.get(radices, i).cast("long")).cast("int")).otherwise(s)
 
-        return F.transform(state, shift)
+            return F.transform(state, shift)
+
+        # The other half is read once a round, however long the value.
+        return _bind(hashed, shifted)
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), symbols, one)
 
@@ -219,8 +240,10 @@ def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of a found value, or the value itself if it is not valid."""
 
     def by_kind(kind: Column) -> Column:
-        text = _varying(m, kind)
-        hexed = (kind == "secret") & text.rlike("^[0-9a-f_./+=-]+$")
+        return _bind(_varying(m, kind), lambda text: _bind(
+            (kind == "secret") & text.rlike("^[0-9a-f_./+=-]+$"), lambda hexed: of_kind(kind, text, hexed)))
+
+    def of_kind(kind: Column, text: Column, hexed: Column) -> Column:
         numbers = F.when(kind.isin("ip", "ssn"), F.split(m, "[.-]")).cast("array<int>")
         area = F.get(numbers, F.lit(0))
         day = F.datediff(_iso(m).try_cast("date"), F.lit(FIRST_DAY).cast("date"))
@@ -257,12 +280,13 @@ def pseudonym(m: Column, key: str) -> Column:
                    .otherwise(as_chars))
 
         def shown(sr: Column) -> Column:
-            radices = F.transform(sr, lambda x: x["r"])
-            form = F.concat_ws(":", kind, F.array_join(radices.cast("array<string>"), ","))
-            new = permute(F.transform(sr, lambda x: x["s"]), radices, form, key)
-            return F.get(F.transform(F.array(new), lambda out: rendered(out, radices)), F.lit(0))
+            def permuted(radices: Column) -> Column:
+                form = F.concat_ws(":", kind, F.array_join(radices.cast("array<string>"), ","))
+                return permute(F.transform(sr, lambda x: x["s"]), radices, form, key)
+
+            return _bind(_bind(F.transform(sr, lambda x: x["r"]), permuted), rendered)
 
-        def rendered(out: Column, radices: Column) -> Column:
+        def rendered(out: Column) -> Column:
             chars = F.transform(_chars(text), lambda c, i: F.when(
                 hexed & c.rlike("[0-9a-f]"), F.lower(F.conv(F.get(out, i).cast("string"), 10, 16)))
                 .when(local & i.isin(0, 3), F.char(F.get(out, i) + 50))
@@ -287,24 +311,30 @@ def pseudonym(m: Column, key: str) -> Column:
                     .when(kind == "key", F.concat(F.lit("AKIA"), joined))
                     .otherwise(F.concat(F.regexp_extract(m, f"({SECRET_START})", 1), joined)))
 
-        # A one-element array binds the symbols, so that they are worked out once.
-        return F.get(F.transform(F.array(symbols), shown), F.lit(0))
+        return _bind(symbols, shown)
 
-    return F.get(F.transform(F.array(_kind(m)), lambda k: F.when(k.isNull(), m).otherwise(by_kind(k))), F.lit(0))
+    return _bind(_kind(m), lambda k: F.when(k.isNull(), m).otherwise(by_kind(k)))
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = "n_pii") -> DataFrame:
     """Replaces every found value in ``text_col`` by its pseudonym; ``count_col`` gets the number of valid finds."""
     text = F.col(text_col)
-    p = "_p_"
-    df = docs.withColumn(p + "m", F.when(text.rlike(ANY), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))))
-    m = F.col(p + "m")
-    df = df.withColumn(p + "n", F.transform(m, lambda x: pseudonym(x, key)))
-    df = df.withColumn(p + "s", F.when(m.isNotNull(), F.split(text, ANY, -1)))
-    new, parts = F.col(p + "n"), F.col(p + "s")
-    # parts has one entry more than there are finds
-    merged = F.array_join(F.flatten(F.transform(parts, lambda x, i: F.array(x, F.coalesce(F.get(new, i), F.lit(""))))), "")
+    p = unused(docs, "_p")
+    own = text.contains(MARK) | text.contains(ESCAPE)
+    escaped = F.when(own, F.replace(F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE * 2)), F.lit(MARK),
+                                    F.lit(ESCAPE + MARKED))).otherwise(text)
+    # One pass finds and marks; without an @ the pattern of addresses is not tried.
+    marked = F.when(text.contains("@"), F.regexp_replace(escaped, f"({ANY})", f"{MARK}$1{MARK}")).otherwise(
+        F.regexp_replace(escaped, f"({NO_EMAIL})", f"{MARK}$1{MARK}"))
+    df = docs.withColumn(p + "k", marked)
+    # Every second part is a find.
+    df = df.withColumn(p + "s", F.when(F.col(p + "k").contains(MARK), F.split(p + "k", MARK, -1)))
+    parts, found = F.col(p + "s"), lambda i: i % 2 == 1
+    new = F.array_join(F.transform(parts, lambda x, i: F.when(found(i), pseudonym(x, key)).otherwise(x)), "")
+    plain = F.replace(F.replace(new, F.lit(ESCAPE + MARKED), F.lit(MARK)), F.lit(ESCAPE * 2), F.lit(ESCAPE))
     if count_col:
-        valid = F.size(F.filter(m, lambda x: _kind(x).isNotNull()))
-        df = df.withColumn(count_col, F.when(m.isNull(), F.lit(0)).otherwise(valid).cast("long"))
-    return df.withColumn(text_col, F.when(m.isNull(), text).otherwise(merged)).drop(p + "m", p + "n", p + "s")
+        valid = F.size(F.filter(parts, lambda x, i: found(i) & _kind(x).isNotNull()))
+        df = df.withColumn(p + "c", F.when(parts.isNull(), F.lit(0)).otherwise(valid).cast("long"))
+    df = df.withColumn(p + "t", F.when(parts.isNull(), text).when(own, plain).otherwise(new))
+    kept = [F.col(p + "t").alias(c) if c == text_col else F.col(c) for c in docs.columns if c != count_col]
+    return df.select(*kept, *([F.col(p + "c").alias(count_col)] if count_col else []))

@@ -27,6 +27,13 @@ def numbered(df: DataFrame, name: str = "row_no") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def unused(df: DataFrame, prefix: str) -> str:
+    """The prefix with as many underscores as no column of the table starts with it (names are compared in small letters)."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The ``documents`` table, pruned to the given columns."""
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
