@@ -5,11 +5,15 @@ They add to the registry of ``plans.queries``. What a query writes goes to fresh
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bizlens.functions import cleaning as C
 from bizlens.operators import frames as FR
 from bizlens.operators import reports as RP
+from bizlens.plans import first_purchase as FP
 from bizlens.plans import model as M
 from bizlens.plans import pipeline as PL
 from bizlens.plans import queries as QR
@@ -21,6 +25,7 @@ from bizlens.sources import bindings as B
 from bizlens.sources import catalog as CAT
 from bizlens.sources import landing as LD
 from bizlens.sources import sinks as SK
+from bizlens.sources import snapshots as SN
 from bizlens.sources.tables import read_table
 from bizlens.streaming import ingest
 
@@ -110,9 +115,9 @@ def warehouse_replace(spark, sf_dir):
 _LEDGER_MONEY = {"Caixa": "Valor Pago", "Competencia": "Valor Previsto"}
 
 
-def _land_ledger(spark, sf_dir, root) -> None:
+def _land_ledger(spark, sf_dir, root, rows: DataFrame | None = None) -> None:
     """The two streams of the ledger, each with its own header for the money."""
-    g = B.ledger(spark, sf_dir)
+    g = B.ledger(spark, sf_dir) if rows is None else rows
     for stream, money in _LEDGER_MONEY.items():
         headers = {money if h == "Valor" else h: e for h, e in QR._G_RAW.items()}
         LD.land(_raw(g.where(F.col("tipo") == stream), headers, F.col("data_movimento")), root, SPEC[f"0387_{stream}"])
@@ -180,10 +185,75 @@ def pipeline_tables(spark, sf_dir):
     _land_all(spark, sf_dir, landing)
     runs = PL.run(spark, landing, warehouse)
     status = spark.createDataFrame([(r.table, r.status) for r in runs], "tabela string, situacao string")
-    counts = CAT.row_counts({r.table: spark.read.parquet(f"{warehouse}/{r.table}") for r in runs if r.status == "written"})
+    counts = CAT.row_counts({r.table: PL.read_table(spark, warehouse, r.table) for r in runs if r.status == "written"})
     return status.join(counts, "tabela", "left").select("tabela", "situacao", "linhas")
 
 
+# ---------------------------------------------------------------------------------------------- incremental runs
+_HORIZON_SQL = f"SELECT CAST(date_trunc('month', MAX(o_orderdate)) - INTERVAL {LD.REFRESH_MONTHS} MONTH AS DATE) AS inicio FROM orders"
+
+
+def _month_sums_sql(table: str, cte: str, day: str, value: str, change: str) -> str:
+    return (f"SELECT '{table}' AS tabela, CAST(date_trunc('month', {day}) AS DATE) AS mes, COUNT(*) AS linhas, "
+            f"CAST(SUM(CASE WHEN {day} >= inicio THEN {value} {change} ELSE {value} END) AS DOUBLE) AS valor FROM {cte}, h GROUP BY 1, 2")
+
+
+_CHANGES = {"tbl_0186_comandas": ("v", "data", "valor", "+ 1"), "tbl_0387_financeiro": ("g", "data_movimento", "valor", "- 1"),
+            "tbl_0188_bandeirascartao": ("c", "data_competencia", "valor_faturado", "+ 2")}
+
+
+@register("incremental_run", with_ctes([("v", ""), ("g", ""), ("c", ""), ("h", _HORIZON_SQL)], " UNION ALL ".join(
+    _month_sums_sql(t, *change) for t, change in _CHANGES.items())))
+def incremental_run(spark, sf_dir):
+    """The fact reports landed and run whole, then the months of the refresh horizon landed with other values and run by the
+    horizon: the fact tables by month equal a full recomputation (A7, A8, A18)."""
+    landing, warehouse = shared_path(spark, "landing"), shared_path(spark, "warehouse")
+    reports = [r for r in CAT.REPORTS if CAT.table_name(PL.TABLE_OF[r.report_id]) in _CHANGES]
+    LD.land(_raw(B.sales_lines(spark, sf_dir), QR._V_RAW, F.col("data")), landing, SPEC["0186"])
+    LD.land(_raw_fees(spark, sf_dir), landing, FEES)
+    _land_ledger(spark, sf_dir, landing)
+    PL.run(spark, landing, warehouse, reports)
+    as_of = _max_day(spark, sf_dir)
+    start = F.lit(LD.horizon_start(as_of))
+    v = B.sales_lines(spark, sf_dir).where(F.col("data") >= start)
+    v = v.withColumn("valor", (F.col("valor") + 1).cast(B.MONEY))
+    LD.land(_raw(v, QR._V_RAW, F.col("data")), landing, SPEC["0186"])
+    g = B.ledger(spark, sf_dir).where(F.col("data_movimento") >= start)
+    _land_ledger(spark, sf_dir, landing, g.withColumn("valor", (F.col("valor") - 1).cast(B.MONEY)))
+    c = B.card_fees(spark, sf_dir).where(F.col("data_competencia") >= start)
+    c = c.withColumn("valor_faturado", F.col("valor_faturado") + 2)
+    LD.land(_raw(c, QR._C_RAW_COLS, F.col("data_competencia")), landing, FEES)
+    PL.run(spark, landing, warehouse, reports, as_of=as_of)
+    return FR.stack([PL.read_table(spark, warehouse, table).groupBy(F.lit(table).alias("tabela"), F.col(M.MONTH_COL).alias("mes"))
+                     .agg(F.count(F.lit(1)).alias("linhas"), F.sum(F.col(value).cast("decimal(28,2)")).cast("double").alias("valor"))
+                     for table, (_, _, value, _) in _CHANGES.items()])
+
+
+def _max_day(spark, sf_dir) -> dt.date:
+    return read_table(spark, sf_dir, "orders", ["o_orderdate"]).agg(F.max(F.to_date("o_orderdate"))).first()[0]
+
+
+@register("sales_facts_incremental", QR.ORACLE["sales_facts"])
+def sales_facts_incremental(spark, sf_dir):
+    """The sales fact over first lines kept from run to run: the oldest months arrive late and the newest are corrected,
+    then it equals the fact of the whole history (F1, M7)."""
+    lines = B.sales_lines(spark, sf_dir).withColumn(PL.EXTRACT, F.trunc("data", "MM"))
+    first, last = lines.agg(F.min(PL.EXTRACT), F.max(PL.EXTRACT)).first()
+    late = F.col(PL.EXTRACT) < F.add_months(F.lit(first), 3)
+    corrected = F.col(PL.EXTRACT) > F.add_months(F.lit(last), -3)
+    roots = [shared_path(spark, "warehouse", t) for t in (PL.SALES, PL.MONTH_FIRST_LINES, PL.FIRST_LINES)]
+    state = {"client": C.md5_key("cliente"), "order": list(B.SALES_ROW_ORDER)}
+    wrong = lines.where(~late & ~(corrected & (F.col("l_linenumber") == 1)))  # the newest months lack lines at first
+    SN.publish(wrong, roots[0], [PL.EXTRACT])
+    FP.refresh(spark, *roots, **state)
+    again = lines.where(late | corrected)
+    months = [r[0].isoformat() for r in again.select(PL.EXTRACT).distinct().collect()]
+    SN.publish_parts(again, roots[0], [PL.EXTRACT], months)
+    FP.refresh(spark, *roots, **state)
+    f = M.fct_vendas(SN.read(spark, roots[0]), B.SALES_ROW_ORDER, firsts=SN.read(spark, roots[2]))
+    return f.select(*QR._FV_COLS, *[F.col(c).cast("double").alias(c) for c in QR._FV_MONEY], "is_recorrente")
+
+
 # ---------------------------------------------------------------------------------------------- registered views
 @register("sales_facts_registered", with_ctes([("v", ""), ("fv", QR.FV_SQL)], """
 SELECT id_cliente, COUNT(*) AS linhas, CAST(SUM(valor) AS DOUBLE) AS valor, COUNT(*) - 1 AS recorrentes FROM fv GROUP BY id_cliente"""))

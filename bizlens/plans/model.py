@@ -85,16 +85,22 @@ def calendar_from_bounds(bounds: DataFrame, start_col: str, end_col: str) -> Dat
 def fct_taxas_cartao(card_fees: DataFrame) -> DataFrame:
     return (card_fees.where(F.col("valor_faturado").isNotNull() & F.col("valor_liquido").isNotNull())
             .select("data_competencia", "bandeira", "valor_faturado", "valor_liquido",
-                    (F.col("valor_faturado") - F.col("valor_liquido")).alias("valor_taxa")))
+                    (F.col("valor_faturado") - F.col("valor_liquido")).alias("valor_taxa"), *_month_of(card_fees)))
 
 
 def fct_ocupacao(occupancy_table: DataFrame) -> DataFrame:
     return occupancy_table.where(_not_blank("profissional")).select(
         C.md5_key("profissional").alias("id_profissional"), "profissional", "data_competencia",
-        "horas_agendadas_decimal")
+        "horas_agendadas_decimal", *_month_of(occupancy_table))
 
 
-def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True, keys: DataFrame | None = None) -> DataFrame:
+def _month_of(table: DataFrame) -> list[str]:
+    """The month partition column, if the table has it."""
+    return [MONTH_COL] if MONTH_COL in table.columns else []
+
+
+def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True, keys: DataFrame | None = None,
+               firsts: DataFrame | None = None) -> DataFrame:
     """Sales fact: visit key, client/professional keys, category fallback and the recurrence flag.
 
     ``is_recorrente`` is true for every line that is not the client's first line (by ``row_order``, a total
@@ -102,6 +108,8 @@ def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True, k
     before the shuffle, and is joined back on the unique row identity, so the client key (where one unknown
     client can own a large share of all lines) never forces a whole group into one task. ``keys`` may give the
     same lines with the client and the order columns only, so the first lines come from a narrower plan.
+    ``firsts`` may give the clients' first lines themselves (client key and order columns, kept by
+    ``plans.first_purchase``): then no history is read for them.
     Of ``sales`` that lacks columns, the fact has the columns that it admits.
     """
     if with_recurrence and not row_order:
@@ -123,9 +131,10 @@ def fct_vendas(sales: DataFrame, row_order=None, with_recurrence: bool = True, k
     if not with_recurrence:
         return sales.select(*columns)
     identity = ["id_cliente", *row_order]
-    narrow = (sales if keys is None else keys).select(C.md5_key("cliente").alias("id_cliente"), *row_order)
-    firsts = FR.first_per_key(narrow, ["id_cliente"], row_order) \
-        .select(*[F.col(c).alias(f"_f_{c}") for c in identity], F.lit(True).alias("_is_first"))
+    if firsts is None:
+        narrow = (sales if keys is None else keys).select(C.md5_key("cliente").alias("id_cliente"), *row_order)
+        firsts = FR.first_per_key(narrow, ["id_cliente"], row_order)
+    firsts = firsts.select(*[F.col(c).alias(f"_f_{c}") for c in identity], F.lit(True).alias("_is_first"))
     # One first row per client, joined on the client too: the join never multiplies lines.
     lines = sales.select(*columns, *[c for c in row_order if c not in admitted])
     flagged = lines.join(firsts, on=[F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in identity], how="left")
@@ -213,7 +222,7 @@ def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[st
         position = [c for c in ("_arquivo", "_linha") if c in sales.columns]
         # Without the raw position the line's own columns complete the order.
         order = ["data", "comanda", *(position or [c for c in sales.columns if c not in ("data", "comanda")])]
-        views["fct_vendas"] = fct_vendas(sales, order)
+        views["fct_vendas"] = fct_vendas(sales, order, firsts=t.get("est_primeiras_linhas") if position else None)
         views["dim_servicos"] = dim_servicos(t["tbl_0186_comandas"])
         if "tbl_0229_profissionais" in t:
             views["dim_profissionais"] = dim_profissionais(t["tbl_0229_profissionais"], t["tbl_0186_comandas"])

@@ -36,12 +36,12 @@ _LEDGER_VALUE_ALIASES = ("valor", "valor_pago", "valor_previsto")
 _LEDGER_TEXT = ["categoria", "fornecedor_cliente", "centro_de_custos", "conta_bancaria", "observacoes", "titulo"]
 
 
-def _ledger_stream(raw: DataFrame, stream: str) -> DataFrame:
+def _ledger_stream(raw: DataFrame, stream: str, keep: list[str]) -> DataFrame:
     df = C.sanitize_columns(raw)
     date_col, other = ("pagamento", "competencia") if stream == "Caixa" else ("competencia", "pagamento")
     value = next((c for c in _LEDGER_VALUE_ALIASES if c in df.columns), None)
     return df.select(
-        (F.col(date_col) if date_col in df.columns else F.lit(None).cast("string")).alias("data_movimento"),
+        *keep, (F.col(date_col) if date_col in df.columns else F.lit(None).cast("string")).alias("data_movimento"),
         (F.col(value) if value else F.lit(None).cast("string")).alias("valor"),
         *[(F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(c) for c in _LEDGER_TEXT
           if c != "observacoes"],
@@ -49,11 +49,12 @@ def _ledger_stream(raw: DataFrame, stream: str) -> DataFrame:
         F.lit(stream).alias("tipo"))
 
 
-def ledger(raw_cash: DataFrame | None, raw_accrual: DataFrame | None) -> DataFrame:
+def ledger(raw_cash: DataFrame | None, raw_accrual: DataFrame | None, keep: list[str] | None = None) -> DataFrame:
     """Cash and accrual streams -> one ledger: the stream's own date becomes ``data_movimento``; money parsed
     (null -> 0); text defaults; category upper, names title-cased; md5 keys of category and counterparty. Without any
-    stream the ledger is empty, with its columns."""
-    streams = [_ledger_stream(r, s) for r, s in ((raw_cash, "Caixa"), (raw_accrual, "Competencia")) if r is not None]
+    stream the ledger is empty, with its columns. ``keep`` names internal columns of the raw rows that go along."""
+    keep = list(keep or [])
+    streams = [_ledger_stream(r, s, keep) for r, s in ((raw_cash, "Caixa"), (raw_accrual, "Competencia")) if r is not None]
     if not streams:
         return SparkSession.active().createDataFrame([], LEDGER_SCHEMA)
     df = FR.stack(streams)
@@ -61,12 +62,12 @@ def ledger(raw_cash: DataFrame | None, raw_accrual: DataFrame | None) -> DataFra
     text["categoria"] = C.text_default(F.upper(C.py_strip(F.coalesce(F.col("categoria"), F.lit(C.NOT_INFORMED_TITLE)))))
     for c in ("fornecedor_cliente", "centro_de_custos", "conta_bancaria", "titulo"):
         text[c] = C.text_default(C.title_case(C.text_default(c)))
-    df = df.select(C.clean_date("data_movimento").alias("data_movimento"), "tipo",
+    df = df.select(*keep, C.clean_date("data_movimento").alias("data_movimento"), "tipo",
                    F.coalesce(C.clean_currency("valor"), F.lit(0.0)).alias("valor"),
                    *[e.alias(c) for c, e in text.items()])
     df = df.withColumn("id_categoria", F.md5(F.upper(C.py_strip("categoria")))) \
            .withColumn("id_entidade", F.md5(F.upper(C.py_strip("fornecedor_cliente"))))
-    return df.select(*LEDGER_COLUMNS)
+    return df.select(*LEDGER_COLUMNS, *keep)
 
 
 # ---------------------------------------------------------------------------------------------- L2 0186 sales
