@@ -29,6 +29,10 @@ NULL_LITERALS_UPPER = ("", "NAN", "NONE")
 NULL_LITERALS_LOWER = ("", "nan", "none")
 NULL_LITERALS_TITLE = ("", "Nan", "None")
 
+#: Names that stand for nobody, as :func:`member_key` reads them: null literals and the defaults of all reports.
+UNKNOWN_NAMES = (*NULL_LITERALS_UPPER, NOT_IDENTIFIED_CLIENT, NOT_IDENTIFIED_PROFESSIONAL, NOT_INFORMED_UPPER,
+                 NOT_INFORMED_UNACCENTED, UNKNOWN_OCCUPANCY_PROFESSIONAL.upper())
+
 # A plain decimal number as Python's float() reads it (no inf/nan: documented deviation).
 _NUMERIC_CAPTURE = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)$"
 # Caseless control character used as a temporary word boundary by title_case.
@@ -143,8 +147,13 @@ def lenient_date(c) -> Column:
 
 
 # ---------------------------------------------------------------------------------------------- B4 hours
-def hours_decimal(c) -> Column:
-    """``HH:MM[:SS]`` -> hours + minutes/60 (seconds ignored, >24h allowed); plain number -> itself; else 0."""
+def hours_decimal(c, input_type: str = "string") -> Column:
+    """``HH:MM[:SS]`` -> hours + minutes/60 (seconds ignored, >24h allowed); plain number -> itself; else 0. A time or
+    timestamp gives its hour + minute/60, a number itself, also one that is stored as such."""
+    if input_type.startswith(("timestamp", "time")):
+        return F.coalesce(F.hour(col_of(c)) + F.minute(col_of(c)) / F.lit(60.0), F.lit(0.0))
+    if input_type in ("tinyint", "smallint", "int", "bigint", "float", "double") or input_type.startswith("decimal"):
+        return F.coalesce(F.nanvl(col_of(c).cast("double"), F.lit(0.0)), F.lit(0.0))
     s = py_strip(col_of(c).cast("string"))
     parts = F.split(s, ":")
     h = safe_double(py_strip(F.get(parts, 0)))
@@ -183,6 +192,24 @@ def visit_key(day, number, client) -> Column:
                           F.coalesce(col_of(client), F.lit(""))))
 
 
+# ---------------------------------------------------------------------------------------------- member keys
+def member_name(c) -> Column:
+    """A name as members are told apart: stripped, upper case, without trailing dots."""
+    return py_strip(F.regexp_replace(F.upper(py_strip(col_of(c).cast("string"))), r"\.+$", ""))
+
+
+def is_unknown(c) -> Column:
+    """True for a name that stands for nobody: null, blank, a null literal or a report's default."""
+    name = member_name(c)
+    return name.isNull() | name.isin(*UNKNOWN_NAMES)
+
+
+def member_key(c) -> Column:
+    """The one key of a member in dimensions and facts: ``UNKNOWN`` for names that stand for nobody, else the md5 of the
+    name as members are told apart."""
+    return F.when(is_unknown(c), F.lit(UNKNOWN_KEY)).otherwise(F.md5(member_name(c)))
+
+
 # ---------------------------------------------------------------------------------------------- B11-B13 contact
 def clean_phone(c) -> Column:
     digits = F.regexp_replace(col_of(c).cast("string"), r"(?U)\D", "")

@@ -32,14 +32,14 @@ def format_currency(c, show_sign: bool = False) -> Column:
 
 
 def format_percentage(c, decimals: int = 1, show_sign: bool = False, scale: float = 100.0) -> Column:
-    """Fraction -> ``12,5%`` (``scale=1`` when the value already is a percentage); null -> ``0,0%``."""
+    """Fraction -> ``12,5%`` (``scale=1`` when the value already is a percentage); null -> ``0,0%``, whatever the
+    number of decimals."""
     v = col_of(c).cast("double") * F.lit(scale)
     body = _plain(F.abs(v), decimals)
     out = F.when(v < 0, F.concat(F.lit("-"), body, F.lit("%")))
     if show_sign:
         out = out.when(v > 0, F.concat(F.lit("+"), body, F.lit("%")))
-    null_text = "0" + ("," + "0" * decimals if decimals else "") + "%"
-    return F.when(v.isNull() | F.isnan(v), F.lit(null_text)).otherwise(out.otherwise(F.concat(body, F.lit("%"))))
+    return F.when(v.isNull() | F.isnan(v), F.lit("0,0%")).otherwise(out.otherwise(F.concat(body, F.lit("%"))))
 
 
 def format_compact(c) -> Column:

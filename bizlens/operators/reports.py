@@ -7,7 +7,9 @@ is a partial/final aggregation over the slice, never a collect.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,31 @@ def query_period(spark, view: str, columns: str, start: dt.date, end: dt.date, d
                      args={"inicio": start, "fim": end})
 
 
+@dataclass
+class PeriodResult:
+    """The rows of a period query, or an empty frame with the same columns and the error."""
+
+    df: DataFrame
+    error: str | None = None
+
+
+def period_result(spark, view: str, schema: str, start: dt.date, end: dt.date, date_col: str = "data",
+                  run: bool = False) -> PeriodResult:
+    """Period query that never fails: of a view that is missing or lacks a column the result is empty, typed by ``schema`` (a
+    DDL list of the columns asked for), and the error is recorded. ``run`` also executes the query now, so an error in the
+    rows is recorded as well; the rows are then persisted (free them with ``unpersist``)."""
+    wanted = spark.createDataFrame([], schema).schema
+    try:
+        df = query_period(spark, view, ", ".join(f"`{f.name}`" for f in wanted), start, end, date_col)
+        df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
+        if run:
+            df = df.persist()
+            df.count()
+        return PeriodResult(df)
+    except PySparkException as e:
+        return PeriodResult(spark.createDataFrame([], wanted), f"{type(e).__name__}: {e}")
+
+
 def sales_slice(sales_fact: DataFrame, start: dt.date, end: dt.date, title_names: bool = True) -> DataFrame:
     """Current-period sales lines with ``valor > 0``; display names title-cased as the dashboard shows them."""
     s = period_slice(sales_fact, "data", start, end).where(F.col("valor") > 0)

@@ -81,6 +81,29 @@ def calendar_from_bounds(bounds: DataFrame, start_col: str, end_col: str) -> Dat
     return days.select(*D.calendar_columns("d"))
 
 
+# ---------------------------------------------------------------------------------------------- resolved members
+def resolved_members(listed: DataFrame, name_col: str, facts: list[DataFrame], key_col: str = "id_membro") -> DataFrame:
+    """A dimension whose keys meet those of the facts: the listed members by :func:`cleaning.member_key` (one row a key), the
+    names that stand for nobody as the one unknown row, and a row with the name alone for each name that only facts have.
+
+    ``facts`` have the name in a column ``name_col``; they are reduced to distinct keys on the map side first.
+    """
+    key, known = C.member_key(name_col), ~C.is_unknown(name_col)
+    others = [c for c in listed.columns if c not in (key_col, name_col)]
+    members = FR.first_per_key(listed.where(known).withColumn(key_col, key), [key_col], [name_col])
+    seen = [f.where(known).groupBy(key.alias(key_col)).agg(F.min(C.member_name(name_col)).alias(name_col)) for f in facts]
+    names = FR.stack(seen).groupBy(key_col).agg(F.min(name_col).alias(name_col))
+    extra = names.join(members.select(key_col), key_col, "left_anti")
+    unknown = {key_col: C.UNKNOWN_KEY, name_col: C.NOT_IDENTIFIED_CLIENT}
+    out = members.select(key_col, name_col, *others).unionByName(extra, allowMissingColumns=True)
+    return FR.append_member(out, unknown)
+
+
+def with_member_key(fact: DataFrame, name_col: str, key_col: str) -> DataFrame:
+    """The fact with the resolved key of the member named in ``name_col``."""
+    return fact.withColumn(key_col, C.member_key(name_col))
+
+
 # ---------------------------------------------------------------------------------------------- facts
 def fct_taxas_cartao(card_fees: DataFrame) -> DataFrame:
     return (card_fees.where(F.col("valor_faturado").isNotNull() & F.col("valor_liquido").isNotNull())
@@ -164,14 +187,17 @@ def int_financeiro_caixa(ledger_table: DataFrame, seed: DataFrame) -> DataFrame:
 
 
 def rep_financeiro_competencia(ledger_table: DataFrame, seed: DataFrame, sales_fact: DataFrame,
-                               card_fee_fact: DataFrame) -> DataFrame:
+                               card_fee_fact: DataFrame, exclude_flagged: bool = False) -> DataFrame:
     """Unified P&L: ledger (4 groups in one scan) + commissions from sales + card fees.
 
     The four ledger branches of the statement read the same accrual ledger; here it is scanned once and the
     group, sign and filter are CASE expressions over that scan. When the inputs are month-partitioned tables,
-    their partition column is carried as ``_mes`` so a period slice prunes whole month folders.
+    their partition column is carried as ``_mes`` so a period slice prunes whole month folders. ``exclude_flagged`` leaves
+    out ledger lines whose category is flagged ``excluir_dre`` (the statement keeps them by default).
     """
     f = int_financeiro_competencia(ledger_table, seed)
+    if exclude_flagged:
+        f = f.where(~F.coalesce(F.col("excluir_dre"), F.lit(False)))
     with_month = MONTH_COL in f.columns or MONTH_COL in sales_fact.columns
 
     def month(df: DataFrame, day: str) -> list[Column]:

@@ -141,7 +141,7 @@ def occupancy(raw: DataFrame, on_missing: str = "raise") -> DataFrame:
     prof = F.col("profissional") if "profissional" in df.columns else F.lit(None).cast("string")
     name = C.default_if(C.title_case(C.py_strip(prof)), C.UNKNOWN_OCCUPANCY_PROFESSIONAL, C.NULL_LITERALS_TITLE)
     return df.select("data_competencia", name.alias("profissional"),
-                     C.hours_decimal("total_agendado").alias("horas_agendadas_decimal"))
+                     C.hours_decimal("total_agendado", dict(df.dtypes)["total_agendado"]).alias("horas_agendadas_decimal"))
 
 
 # ---------------------------------------------------------------------------------------------- L5 0188 card fees
