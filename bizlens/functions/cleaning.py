@@ -33,11 +33,14 @@ NULL_LITERALS_TITLE = ("", "Nan", "None")
 UNKNOWN_NAMES = (*NULL_LITERALS_UPPER, NOT_IDENTIFIED_CLIENT, NOT_IDENTIFIED_PROFESSIONAL, NOT_INFORMED_UPPER,
                  NOT_INFORMED_UNACCENTED, UNKNOWN_OCCUPANCY_PROFESSIONAL.upper())
 
-# A plain decimal number as Python's float() reads it (no inf/nan: documented deviation).
+# What a text-to-double cast would take beyond a plain number: suffixes, inf, nan and hexadecimal letters, and blanks and
+# control characters around it. Turned into a sign that no number holds, the cast gives null.
+_NO_NUMBER = "dDfFnNiIxX" + "".join(map(chr, range(0x21)))
+# A plain decimal number as Python's float() reads it (no inf/nan: documented deviation); for SQL text.
 _NUMERIC_CAPTURE = r"^([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)$"
 # Caseless control character used as a temporary word boundary by title_case.
 _TITLE_MARK = "\u0001"
-# Text that is wrapped in parentheses once stripped (accounting negative).
+# Text that is wrapped in parentheses once stripped (accounting negative); for SQL text.
 _PARENTHESISED = r"(?Us)^\s*\(.*\)\s*$"
 # The characters Python's str.strip() removes (str.isspace), as one trim set.
 PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -51,12 +54,8 @@ def py_strip(c) -> Column:
 
 
 def safe_double(c) -> Column:
-    """String -> double only when it is a plain number; anything else -> null (never raises).
-
-    The anchored extract yields '' for a non-number (and ``try_cast('')`` is null), so the input is referenced
-    once and no CASE branch re-evaluates it.
-    """
-    return F.regexp_extract(col_of(c), _NUMERIC_CAPTURE, 1).try_cast("double")
+    """String -> double only when it is a plain number; anything else -> null (never raises). One pass, no regex."""
+    return F.translate(col_of(c), _NO_NUMBER, "#" * len(_NO_NUMBER)).try_cast("double")
 
 
 def nullif_literals(c, literals=NULL_LITERALS_LOWER) -> Column:
@@ -75,11 +74,13 @@ def title_case(c) -> Column:
     ``initcap`` alone only starts words after spaces (wrong for ``D'Avila``, ``Pé+Mão``). Here every non-letter is
     followed by a caseless marker and a space, ``initcap`` runs, and the marker pairs are removed again. The
     removal is exact for any input: each inserted pair sits right after its own non-letter, so a left-to-right
-    match of marker+space only ever hits inserted pairs. Plain expressions only (no lambda), so it stays in
-    generated code and repeated uses are shared by subexpression elimination.
+    match of marker+space only ever hits inserted pairs. A text of letters and spaces only needs ``initcap`` alone. Plain
+    expressions only (no lambda), so it stays in generated code.
     """
-    marked = F.regexp_replace(col_of(c), r"(\P{L})", "$1" + _TITLE_MARK + " ")
-    return F.regexp_replace(F.initcap(marked), _TITLE_MARK + " ", "")
+    text = col_of(c)
+    marked = F.regexp_replace(text, r"(\P{L})", "$1" + _TITLE_MARK + " ")
+    return F.when(text.rlike(r"[^\p{L} ]"), F.replace(F.initcap(marked), F.lit(_TITLE_MARK + " "), F.lit(""))) \
+            .otherwise(F.initcap(text))
 
 
 def normalized_key(c) -> Column:
@@ -119,13 +120,14 @@ def clean_currency(c) -> Column:
     strip; ``(x)`` marks a negative; drop ``R $ % whitespace ( )``; every ``.`` is a thousands separator
     (so ``10.5`` -> 105); ``,`` is the decimal mark; invalid -> null.
 
-    Each intermediate is referenced once (sign from one regex on the raw text, separators swapped by one
-    ``translate``, validation + cast by one anchored extract), so no regex runs twice per row.
+    One ``translate`` drops, swaps and guards all characters; no regex. Only texts with a parenthesis are stripped to look
+    for the accounting negative.
     """
     text = col_of(c).cast("string")
-    sign = F.when(text.rlike(_PARENTHESISED), F.lit(-1.0)).otherwise(F.lit(1.0))
-    body = F.translate(F.regexp_replace(text, r"(?U)[R$%\s()]", ""), ",.", ".")
-    return safe_double(body) * sign
+    bad = "".join(ch for ch in _NO_NUMBER if ch not in PY_WHITESPACE)
+    number = F.translate(text, "," + bad + ".R$%()" + PY_WHITESPACE, "." + "#" * len(bad)).try_cast("double")
+    negative = text.contains("(") & py_strip(text).startswith("(") & py_strip(text).endswith(")")
+    return F.when(negative, -number).otherwise(number)
 
 
 # ---------------------------------------------------------------------------------------------- B3 / B19 dates
@@ -195,7 +197,7 @@ def visit_key(day, number, client) -> Column:
 # ---------------------------------------------------------------------------------------------- member keys
 def member_name(c) -> Column:
     """A name as members are told apart: stripped, upper case, without trailing dots."""
-    return py_strip(F.regexp_replace(F.upper(py_strip(col_of(c).cast("string"))), r"\.+$", ""))
+    return py_strip(F.rtrim(F.upper(py_strip(col_of(c).cast("string"))), F.lit(".")))
 
 
 def is_unknown(c) -> Column:
@@ -224,7 +226,7 @@ def clean_name(c, default: str = NOT_IDENTIFIED_CLIENT, strip_dots: bool = True)
     """strip -> upper -> drop trailing dots (then strip again, so keys join) -> null literals -> default."""
     s = F.upper(py_strip(col_of(c).cast("string")))
     if strip_dots:
-        s = py_strip(F.regexp_replace(s, r"\.+$", ""))
+        s = py_strip(F.rtrim(s, F.lit(".")))
     return default_if(s, default, NULL_LITERALS_UPPER)
 
 
