@@ -149,7 +149,7 @@ class TokenFile:
         return out
 
 
-def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int, file_tokens: int = 32 << 20) -> DataFrame:
+def write_files(docs: DataFrame, tokenizer_path: str, path: str, end_id: int, file_tokens: int = 4 << 20) -> DataFrame:
     """Writes the documents in ascending id order; returns the written manifest (part, no, file, n_docs, n_ids)."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("k"), F.col("text").alias("t"),
                         F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("p"))

@@ -23,8 +23,9 @@ import pyarrow.compute as pc
 #: Fixed value: the piece pattern of byte-level BPE as the tokenizer file's ByteLevel pre-tokenizer applies it.
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Distinct fragments kept per Python worker; beyond it the memo starts anew (a memory bound, not a result bound).
-MEMO_FRAGMENTS = 500_000
+#: What the memo of a Python worker may take, with ``ENTRY_BYTES`` for each entry's objects; beyond it the memo starts anew.
+#: Fragments of more than ``KEPT_BYTES`` (texts without places to cut) are not kept. Bounds of memory, not of results.
+MEMO_BYTES, ENTRY_BYTES, KEPT_BYTES = 64 << 20, 160, 64
 #: Bytes of text handled at once inside a task.
 SLICE_BYTES = 16 << 20
 
@@ -109,6 +110,7 @@ class Encoder:
         model = spec["model"]
         self.suffix = model.get("end_of_word_suffix") or ""
         self.memo: dict[str, bytes] = {}
+        self.held = 0
         self.fast = self.open_end = None
         if self.suffix:
             self.cut, self.inner = forced_cuts(model["vocab"], self.suffix)
@@ -145,6 +147,7 @@ class Encoder:
     def _closed(self, new: list[str]) -> None:
         """Remembers the ids of fragments that end where a piece ends."""
         rest = new
+        self.held += sum(map(self._taken, new))
         if self.fast is not None:
             marks = [s.decode() for s in self.special]
             rest = [f for f in new if any(m in f for m in marks)] if any(m in "\0".join(new) for m in marks) else []
@@ -157,6 +160,16 @@ class Encoder:
         for f, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self.memo[f] = array("I", e.ids).tobytes()
 
+    def _forget_long(self, words: list[str]) -> None:
+        for w in words:
+            if len(w) > KEPT_BYTES and self.memo.pop(w, None) is not None:
+                self.held -= self._taken(w)
+
+    @staticmethod
+    def _taken(word: str) -> int:
+        """At most: four bytes a character of the text, and an id for each of its bytes."""
+        return ENTRY_BYTES + 8 * len(word)
+
     def _one_word(self, fragment: str) -> bool:
         """Encodes a Latin-1 word, with one mark behind it or none, straight by the model; False if it is not one.
 
@@ -192,8 +205,9 @@ class Encoder:
         coded = frags.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         words = coded.dictionary.to_pylist()
-        if len(self.memo) > MEMO_FRAGMENTS:
+        if self.held > MEMO_BYTES:
             self.memo.clear()
+            self.held = 0
         if inner.any():
             used, codes = np.unique(codes * 2 + inner, return_inverse=True)
             open_end = (used & 1).astype(bool).tolist()
@@ -201,11 +215,13 @@ class Encoder:
             self._closed([w for w, o in zip(words, open_end, strict=True) if not o and w not in self.memo])
             found = [array("I", self._open(w)).tobytes() if o else self.memo[w]
                      for w, o in zip(words, open_end, strict=True)]
+            self._forget_long(words)
         else:
             new = [w for w in words if w not in self.memo]
             if new:
                 self._closed(new)
             found = [self.memo[w] for w in words]
+            self._forget_long(new)
         lens = np.fromiter(map(len, found), np.int64, len(found)) >> 2
         flat = np.frombuffer(b"".join(found), np.uint32)
         return flat, lens, codes, np.searchsorted(starts, offsets), found
