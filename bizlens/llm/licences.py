@@ -16,7 +16,7 @@ The scan itself is one map; only the per-task counts of licence words are shuffl
 Base labels: places where a base phrase's words stand consecutively.
 
 Defined results: a null or empty text has no words, no places, empty labels and score 0; repeated rows are scanned
-each; an empty table gives no rows; columns besides id and text are not read.
+each; an empty table gives no rows; all other columns are kept, but for those that have a result's name, which it replaces.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Failing lines are removed. A document whose removed lines hold more than ``max_l
 rejected, as is one that fails the base rules (too few words, or too many words in repeated five-word windows).
 
 Defined results: a null text has no words, fails the base rules and keeps a null text; empty texts likewise; repeated
-rows are judged each; an empty table gives no rows; all other columns are kept as they are.
+rows are judged each; an empty table gives no rows; all other columns are kept as they are, but for those that have a
+result's name, which the result replaces.
 """
 
 from __future__ import annotations
