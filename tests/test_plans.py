@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as E
 
 PLANS = {}
+FREE_STYLE = ("pipeline",)
 
 
 def plan(spark, small_dir, name):
@@ -67,3 +68,6 @@ def test_no_python_evaluation(spark, small_dir, name):
         pytest.skip("writes to the work folder; covered by test_landing")
     p = plan(spark, small_dir, name)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p
+    # of the training-data operators only the native ones have no Python at all
+    if name not in FREE_STYLE and (not name.startswith("op") or name.startswith(("op3_", "op6_", "op10_", "orphan"))):
+        assert "MapInArrow" not in p and "MapInPandas" not in p
