@@ -1,14 +1,16 @@
 """Licence scan by a positional index of rare words (operator 10). DataFrame functions only.
 
-The index holds the notices, titles, short references and SPDX tags of the usual licences; each entry has a key phrase
-that must stand word by word. A posting says at which place of which entry a word stands. The document frequency of
-each licence word is counted over all documents. In each file the ``RAREST`` licence words of highest IDF that it holds
-are looked up; the places of their postings are turned into (entry, place in the file - place in the entry). A start at
-which several of them agree is a candidate, and it counts if the entry's key phrase stands there. The score is the
-largest share of an entry's words found in place.
-
-So that no licence is lost in a file that holds several, an entry whose key phrase has all its words in the file also
-has the ``ANCHORS`` rarest of them looked up, though they are not among the file's rarest.
+The entries are the notices, titles, short references and SPDX tags of the usual licences; each has a key phrase that
+must stand word by word. The document frequency of each licence word is counted over all documents. The index is a map
+from a word to postings: an entry is posted under the rarest word of its key phrase (its lead) with the lead's place,
+and with the place of the next rarest word.
+
+A file's licence words of highest IDF are looked up, the rarest first, as far as words go that lead an entry; their
+postings alone say which entries are examined, and where. A place of the lead gives a start; it stays if the next
+rarest word stands at its place relative to that start (the two postings are intersected), and it counts if the whole
+key phrase stands there. The score is the largest share of an entry's words found in place. A key phrase cannot stand
+in a file without its lead, so no licence is lost, however many a file holds; what the frequencies change is how many
+postings are examined (``examined_col``).
 
 The word table has one row per licence word, a fixed number; nothing that grows with the corpus reaches the driver.
 The scan itself is one map; only the per-task counts of licence words are shuffled.
@@ -179,8 +181,6 @@ SPDX = (
 TEMPLATES = tuple(dict.fromkeys([
     *SENTENCES, *NOTICES, *_gnu(), *_creative_commons(), *_named(),
     *[(x.lower(), f"spdx license identifier {_plain(x)}", f"spdx license identifier {_plain(x)}") for x in SPDX]]))
-#: Words looked up: the file's rarest, and those of a key phrase that may stand there; how many must agree on a start.
-RAREST, ANCHORS, AGREE = 8, 3, 2
 
 
 def _words(text: Column) -> Column:
@@ -227,76 +227,78 @@ def word_idf(docs: DataFrame, text_col: str = "text") -> dict[str, float]:
     return {w: math.log((found.get("", 0) + 1) / (found.get(w, 0) + 1)) for w in vocab}
 
 
-def index(idf: dict[str, float]) -> Column:
-    """The templates, grouped by the rarest word of their key phrase (in each key phrase the rarest come first)."""
-    groups: dict[str, list[str]] = {}
+def index(idf: dict[str, float]) -> tuple[list[str], Column]:
+    """The leads, the rarest first, and the map lead -> postings."""
+    posted: dict[str, list[str]] = {}
     for label, template, key in TEMPLATES:
-        rare = sorted(set(key.split()), key=lambda w: (-idf[w], w))
-        groups.setdefault(rare[0], []).append(
-            f"named_struct('label', '{label}', 'words', split('{template}', ' '), 'rare', split('{' '.join(rare)}', ' '), "
-            f"'key', split('{key}', ' '), 'key_at', {template[:template.index(key)].count(' ')})")
+        words = key.split()
+        rare = sorted(set(words), key=lambda w: (-idf[w], w))
+        lead, after = rare[0], rare[min(1, len(rare) - 1)]
+        first = template[:template.index(key)].count(" ")
+        posted.setdefault(lead, []).append(
+            f"named_struct('label', '{label}', 'words', split('{template}', ' '), 'key', split('{key}', ' '), "
+            f"'key_at', {first}, 'at', {first + words.index(lead)}, "
+            f"'next', '{after}', 'next_at', {first + words.index(after)})")
     # One expression of literals, folded when the query is planned.
-    return F.expr("array(" + ", ".join(f"named_struct('word', '{w}', 'templates', array({', '.join(ts)}))"
-                                       for w, ts in groups.items()) + ")")
-
+    table = F.expr("map(" + ", ".join(f"'{w}', array({', '.join(ts)})" for w, ts in posted.items()) + ")")
+    return sorted(posted, key=lambda w: (-idf[w], w)), table
 
-def _best_share(words: Column, places: Column, looked: Column, t: Column) -> Column:
-    """Largest share of the template's words in place, over the verified starts; null without one.
 
-    ``places`` are those of the words looked up."""
-    listed, key, key_at = t["words"], t["key"], t["key_at"]
-    # Postings: the places of a template at which a word that is looked up stands.
-    postings = F.filter(F.sequence(F.lit(0), F.size(listed) - 1), lambda q: F.array_contains(looked, F.get(listed, q)))
-    starts = F.flatten(F.transform(postings, lambda q: F.transform(
-        F.filter(places, lambda i: F.get(words, i) == F.get(listed, q)), lambda i: i - q)))
-    need = F.least(F.lit(AGREE), F.size(t["rare"]))
+def _best_share(words: Column, places: Column, t: Column) -> Column:
+    """Largest share of the entry's words in place, over the verified starts; null without one.
 
-    def agreed(s: Column) -> Column:
-        # Sorted, so equal starts stand together.
-        at = F.when(F.size(s) > 0, F.filter(s, lambda x, j: F.get(s, j + need - 1) == x))
-        return F.array_distinct(at)
+    ``places`` are those of the entry's lead."""
+    listed, key = t["words"], t["key"]
+    starts = F.filter(F.transform(places, lambda i: i - t["at"]),
+                      lambda s: F.get(words, s + t["next_at"]) == t["next"])
 
     def stands(s: Column) -> Column:
-        return F.size(F.filter(key, lambda x, q: F.get(words, s + key_at + q) == x)) == F.size(key)
+        return F.size(F.filter(key, lambda x, q: F.get(words, s + t["key_at"] + q) == x)) == F.size(key)
 
     def share(s: Column) -> Column:
         hits = F.filter(listed, lambda x, q: F.get(words, s + q) == x)
         return F.size(hits) / F.size(listed).cast("double")
 
-    return F.array_max(F.transform(F.filter(_bind(F.sort_array(starts), agreed), stands), share))
+    return F.array_max(F.transform(F.filter(starts, stands), share))
+
 
+def scan(docs: DataFrame, text_col: str = "text", examined_col: str | None = None,
+         idf: dict[str, float] | None = None) -> DataFrame:
+    """Adds n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    idf = word_idf(docs, text_col)
-    table, p = index(idf), "_l_"
-    by_idf = _texts(sorted(idf, key=lambda w: (-idf[w], w)))
+    ``examined_col`` adds the number of postings examined. ``idf`` may give the words' weights (default: counted here)."""
+    leads, table = index(idf or word_idf(docs, text_col))
+    p = "_l_"
     df = docs.withColumn(p + "w", _words(F.col(text_col)))
     w = F.col(p + "w")
-    # The file's licence words, the rarest first.
-    df = df.withColumn(p + "h", F.array_intersect(by_idf, w))
+    first = sorted({b.split()[0] for b, _ in BASE})
+    # The file's words that lead an entry, the rarest first; and those that begin a base phrase.
+    df = df.withColumn(p + "h", F.array_intersect(_texts(leads), w)).withColumn(p + "f", F.arrays_overlap(_texts(first), w))
     held = F.col(p + "h")
 
-    lead = sorted({b.split()[0] for b, _ in BASE})
-    df = df.withColumn(p + "o", F.when(F.arrays_overlap(held, _texts(lead)), _places(w, lead)))
+    df = df.withColumn(p + "o", F.when(F.col(p + "f"), _places(w, first)))
     for k, (phrase, _) in enumerate(BASE):
         df = df.withColumn(f"{p}b{k}", F.filter(F.col(p + "o"), _starts_here(w, phrase.split())))
     base = [F.col(f"{p}b{k}") for k in range(len(BASE))]
 
-    def found(ts: Column) -> Column:
-        looked = F.array_distinct(F.concat(F.slice(held, 1, RAREST), F.flatten(
-            F.transform(ts, lambda t: F.slice(t["rare"], 1, ANCHORS)))))
-        return _bind(looked, lambda ws: _bind(
-            F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(ws, F.get(w, i))),
-            lambda places: F.filter(F.transform(ts, lambda t: F.struct(
-                t["label"].alias("label"), _best_share(w, places, ws, t).alias("share"))),
-                lambda x: x["share"].isNotNull())))
-
-    # Templates whose key phrase has all its words in the file.
-    groups = F.filter(table, lambda g: F.array_contains(held, g["word"]))
-    whole = F.filter(F.flatten(F.transform(groups, lambda g: g["templates"])), lambda t: F.forall(
-        t["rare"], lambda x: F.array_contains(held, x)))
-    df = df.withColumn(p + "t", _bind(whole, lambda ts: F.when(F.size(ts) > 0, found(ts))))
+    def looked_up(word: Column, places: Column) -> Column:
+        postings = table[word]
+        return F.struct(
+            (F.size(postings) * F.size(places)).cast("long").alias("examined"),
+            F.filter(F.transform(postings, lambda t: F.struct(
+                t["label"].alias("label"), _best_share(w, places, t).alias("share"))),
+                lambda x: x["share"].isNotNull()).alias("found"))
+
+    def by_lead(places: Column) -> Column:
+        return F.transform(held, lambda word: _bind(
+            F.filter(places, lambda i: F.get(w, i) == word), lambda at: looked_up(word, at)))
+
+    spots = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(held, F.get(w, i)))
+    df = df.withColumn(p + "r", F.when(F.size(held) > 0, _bind(spots, by_lead)))
+    df = df.withColumn(p + "t", F.flatten(F.transform(F.col(p + "r"), lambda x: x["found"])))
+    if examined_col:
+        df = df.withColumn(examined_col, F.coalesce(F.aggregate(
+            p + "r", F.lit(0).cast("long"), lambda n, x: n + x["examined"]), F.lit(0).cast("long")))
     shares = F.coalesce(F.transform(F.col(p + "t"), lambda x: x["share"]), F.array().cast("array<double>"))
     more = F.coalesce(F.transform(F.col(p + "t"), lambda x: x["label"]), F.array().cast("array<string>"))
 
@@ -314,7 +316,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
           .withColumn("labels", listed(F.concat(named, more))))
     best = F.coalesce(F.array_max(shares), F.lit(0.0))
     df = df.withColumn("score", F.greatest(best, F.when(F.col("n_base") > 0, 0.5).otherwise(0.0)))
-    return df.drop(p + "w", p + "h", p + "o", p + "t", *[f"{p}b{k}" for k in range(len(BASE))])
+    return df.drop(p + "w", p + "h", p + "f", p + "o", p + "r", p + "t", *[f"{p}b{k}" for k in range(len(BASE))])
 
 
 COLUMNS = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")

@@ -218,6 +218,52 @@ def test_licences_beyond_the_given_documents(spark):
     assert all(0 < x <= 1 for _, x in got) and got[0][1] > 0.9
 
 
+def test_rare_words_limit_what_is_examined(spark):
+    """The postings of the rarest words say what is examined: fewer than with equal weights, and the labels stay."""
+    licence = "under the terms of the Apache License, Version 2.0 and the GNU General Public License version 3"
+    plain = "the terms of this license and any version of the software are free for public use"
+    texts = [plain] * 40 + [licence] * 2 + ["nothing of the kind here"]
+    docs = frame(spark, texts).drop("n_words")
+    even = dict.fromkeys(licences.vocabulary(), 1.0)
+    rows = {name: licences.scan(docs, examined_col="seen", idf=idf).orderBy("doc_id").collect()
+            for name, idf in (("rare", None), ("even", even))}
+    counts = {name: sum(r["seen"] for r in found) for name, found in rows.items()}
+    entries = len(licences.TEMPLATES) * len(texts)
+    assert 0 < counts["rare"] < counts["even"] / 2 and counts["rare"] < entries / 10
+    assert rows["rare"][-1]["seen"] == 0
+    for a, b in zip(rows["rare"], rows["even"], strict=True):
+        assert (a["labels"], a["score"]) == (b["labels"], b["score"])
+    # the count by hand: the places of each entry's lead
+    leads, _ = licences.index(licences.word_idf(docs))
+    idf = licences.word_idf(docs)
+    words = [w for w in re.split("[^a-z0-9]+", licence.lower()) if w]
+    posted = [min(set(key.split()), key=lambda w: (-idf[w], w)) for _, _, key in licences.TEMPLATES]
+    assert rows["rare"][40]["seen"] == sum(posted.count(w) for w in words) and set(posted) == set(leads)
+
+
+def test_licences_of_any_weights_match_brute_force(spark):
+    """Whatever word leads, each key phrase that stands is found, with the best share of its entry's words."""
+    some = licences.TEMPLATES[::7]
+    texts = [f"x {t} y {t.split()[0]} {key}" for _, t, key in some] + [" ".join(t for _, t, _ in some[:25])]
+    docs = frame(spark, texts).drop("n_words")
+    backwards = {w: float(i % 7) for i, w in enumerate(licences.vocabulary())}
+    for idf in (None, backwards):
+        for r in licences.scan(docs, idf=idf).collect():
+            words = r["text"].split()
+            labels, best = set(), 0.0
+            for label, template, key in licences.TEMPLATES:
+                listed, k = template.split(), key.split()
+                key_at = template[:template.index(key)].count(" ")
+                for i in range(len(words) - len(k) + 1):
+                    if words[i:i + len(k)] == k:
+                        s = i - key_at
+                        hits = sum(0 <= s + q < len(words) and words[s + q] == x for q, x in enumerate(listed))
+                        labels, best = labels | {label}, max(best, hits / len(listed))
+            base = set(filter(None, r["base_labels"].split(",")))
+            assert r["labels"] == ",".join(sorted(labels | base))
+            assert r["score"] == max(best, 0.5 if base else 0.0)
+
+
 TRICKY = st.lists(st.sampled_from(["### ", "</turn>", "\n", "\\", ": ", "Assistant", "x", " ", "#", ":", "é"]),
                   max_size=12).map("".join)
 
