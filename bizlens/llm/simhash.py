@@ -147,8 +147,10 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def links(classes: DataFrame, distance: int) -> DataFrame:
-    """(u, v): every pair of distinct fingerprints that differ in at most ``distance`` bits, u < v."""
+def links(classes: DataFrame, distance: int, node: str = "fp") -> DataFrame:
+    """(u, v): every pair of distinct fingerprints that differ in at most ``distance`` bits, u < v.
+
+    ``node`` names the column that is returned for the fingerprints (the order of u and v stays that of the fingerprints)."""
     n, together = bit_counts(classes)
     keys, probes = [], []
     for i, (bits, threshold) in enumerate(allocate(n, together, distance)):
@@ -157,11 +159,11 @@ def links(classes: DataFrame, distance: int) -> DataFrame:
         masks = [_signed(sum(1 << b for b in some)) for d in range(threshold + 1)
                  for some in itertools.combinations(bits, d)]
         probes.append(_variants(value, masks, i))
-    index = classes.select(F.col("fp").alias("v"), F.inline(F.array(*keys)))
-    probing = classes.select(F.col("fp").alias("u"), F.inline(F.flatten(F.array(*probes))))
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance
+    index = classes.select(F.col("fp").alias("fv"), F.col(node).alias("v"), F.inline(F.array(*keys)))
+    probing = classes.select(F.col("fp").alias("fu"), F.col(node).alias("u"), F.inline(F.flatten(F.array(*probes))))
+    near = F.bit_count(F.col("fu").bitwiseXOR(F.col("fv"))) <= distance
     found = probing.join(index, (probing["i"] == index["i"]) & (probing["key"] == index["key"])
-                         & (F.col("u") < F.col("v")) & near)
+                         & (F.col("fu") < F.col("fv")) & near)
     return found.select("u", "v").distinct()
 
 
@@ -174,12 +176,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, id_col
                     text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, fp, component_id, carried columns): the smallest id reachable over links, the row's own included."""
     rows = written(fingerprints(docs, shingle, id_col, text_col, carry), "simhash-rows")
-    classes = written(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-classes")
-    roots = written(components(links(classes, distance)), "simhash-roots")
-    labelled = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = labelled.join(least, "root").select("fp", "component_id", "root")
+    # A class is known by (no id, smallest id, fingerprint): a component's smallest class holds its smallest id.
+    name = F.struct(F.col("first_id").isNull().alias("no_id"), F.col("first_id").alias("id"), "fp")
+    classes = written(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")).select("fp", name.alias("class")),
+                      "simhash-classes")
+    roots = written(components(links(classes, distance, "class")), "simhash-roots")
+    root = F.coalesce("root", "class")
+    named = classes.join(roots, classes["class"] == roots["node"], "left").select(
+        "fp", root["id"].alias("component_id"), root["fp"].alias("root"))
     return rows.join(named, "fp").select(id_col, "fp", "component_id", "root", *carry)
 
 

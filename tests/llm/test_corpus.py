@@ -60,6 +60,23 @@ def test_simhash_components_match_brute_force(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_components_with_null_and_repeated_ids(spark):
+    """A component's id is its smallest; null where all its ids are null; equal ids alone link nothing."""
+    words = [" ".join(f"{a}{i}" for i in range(60)) for a in "abc"]
+    rows = [(9, words[0]), (4, words[0]), (None, words[0]), (None, words[1]), (4, words[2]), (4, words[2])]
+    # A component of many classes: each differs from its neighbours by a word near the end of a long text.
+    long = [f"z{i}" for i in range(400)]
+    chain = [(100 - k, " ".join(long + [f"end{j}" for j in range(k)])) for k in range(12)]
+    found = simhash.near_duplicates(frame(spark, rows + chain), carry=("text",)).collect()
+    got = {(r["doc_id"], r["text"]): r["component_id"] for r in found}
+    assert [got[r] for r in rows] == [4, 4, 4, None, 4, 4]
+    fps = [fingerprint(t) for _, t in chain]
+    assert len(set(fps)) > 3
+    assert [got[r] for r in chain] == groups([k for k, _ in chain], fps, 4)
+    roots = {r["text"]: r["root"] for r in found}
+    assert roots[words[0]] != roots[words[2]] and len(simhash.one_of_each(frame(spark, rows)).collect()) == 3
+
+
 @pytest.mark.parametrize("distance", [1, 4, 7])
 def test_pigeonhole_loses_no_link(spark, distance):
     rng = np.random.default_rng(distance)
