@@ -189,6 +189,23 @@ def pipeline_tables(spark, sf_dir):
     return status.join(counts, "tabela", "left").select("tabela", "situacao", "linhas")
 
 
+#: Report id -> the raw rows that are landed for it.
+_RAW_ROWS = {"0002": "k", "0007": "r", "0126": "o", "0186": "v", "0188": "c", "0229": "p", "0387": "g"}
+
+
+@register("report_catalogue", with_ctes([(cte, "") for cte in _RAW_ROWS.values()], " UNION ALL ".join(
+    f"SELECT '{i}' AS relatorio, CAST({sum(r.report_id == i for r in CAT.REPORTS)} AS BIGINT) AS entradas, "
+    f"COUNT(*) AS linhas FROM {cte}" for i, cte in _RAW_ROWS.items())))
+def report_catalogue(spark, sf_dir):
+    """Each report of the catalogue with its entries and the rows that lie landed under their folders (A1)."""
+    root = shared_path(spark, "landing")
+    _land_all(spark, sf_dir, root)
+    reports = CAT.load_reports()
+    rows = CAT.row_counts({f"{r.report_id}/{k}": LD.read_report(spark, root, r) for k, r in enumerate(reports)})
+    return rows.groupBy(F.split("tabela", "/")[0].alias("relatorio")).agg(
+        F.count(F.lit(1)).alias("entradas"), F.sum("linhas").alias("linhas"))
+
+
 # ---------------------------------------------------------------------------------------------- incremental runs
 _HORIZON_SQL = f"SELECT CAST(date_trunc('month', MAX(o_orderdate)) - INTERVAL {LD.REFRESH_MONTHS} MONTH AS DATE) AS inicio FROM orders"
 

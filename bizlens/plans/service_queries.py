@@ -5,6 +5,8 @@ They add to the registry of ``plans.queries``. What a query writes goes to fresh
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from bizlens.functions import cleaning as C
 from bizlens.functions import sql as FS
 from bizlens.operators import frames as FR
 from bizlens.operators import lifecycle as LC
+from bizlens.operators import metrics as MT
 from bizlens.operators import quality as QC
 from bizlens.operators import reports as RP
 from bizlens.operators.slices import Slices
@@ -283,3 +286,36 @@ def occupancy_typed_times(spark, sf_dir):
     raw = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate", "o_orderpriority"]).select(
         F.expr(_TIMES).alias("Total Agendado"), F.col("o_orderpriority").alias("Profissional"))
     return T.occupancy(raw.withColumn("data_competencia", F.to_date(F.trunc("Total Agendado", "MM"))))
+
+
+# ---------------------------------------------------------------------------------------------- headers, periods without data (B1, H7)
+#: Raw headers of the sales and card reports over the line items, with the names they become.
+_HEADERS = {"l_orderkey": ("Comanda", "comanda"), "l_quantity": ("Qtd.", "qtd"), "l_extendedprice": ("Valor faturado", "valor_faturado"),
+            "l_discount": ("Comissão (%)", "comissao"), "l_tax": ("Taxa de Ocupação (%)", "taxa_de_ocupacao"),
+            "l_returnflag": ("Fornecedor/Cliente", "fornecedor_cliente"), "l_linestatus": (" E-mail ", "e_mail"),
+            "l_shipdate": ("Última  Visita", "ultima_visita"), "l_linenumber": ("Líquido - Nº", "liquido_no")}
+
+
+@register("clean_column_names", "SELECT " + ", ".join(
+    f"COUNT(DISTINCT {c}) AS {name}" for c, (_, name) in _HEADERS.items()) + " FROM lineitem")
+def clean_column_names(spark, sf_dir):
+    """Distinct values of every column under its cleaned header, as the reports spell the headers (B1)."""
+    raw = read_table(spark, sf_dir, "lineitem", list(_HEADERS)).toDF(*[header for header, _ in _HEADERS.values()])
+    df = C.sanitize_columns(raw)
+    # Two steps, so that no line is replicated per distinct aggregate: the values of each column once, then their number.
+    values = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(c).cast("string").alias("v"))
+                                           for c in df.columns])).alias("x")).select("x.*").where("v IS NOT NULL").distinct()
+    counts = values.groupBy("coluna").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(*[F.coalesce(F.sum(F.when(F.col("coluna") == c, F.col("n"))), F.lit(0)).alias(c) for c in df.columns])
+
+
+#: A period that lies beyond the data, as do the one before and the one a year ago.
+_WITHOUT_DATA = (dt.date(2050, 3, 1), dt.date(2050, 3, 31))
+
+
+@register("empty_period_kpis", with_ctes([c if c[0] != "periods" else ("periods", Q.periods_values(*_WITHOUT_DATA))
+                                          for c in QR.SALES_KPI_CTES], "SELECT * FROM k"))
+def empty_period_kpis(spark, sf_dir):
+    """Sales KPIs of periods without any line: a row per period with zeros (H7)."""
+    w = Warehouse(spark, sf_dir)
+    return MT.sales_kpis(spark, w.sales_slice("data", "comanda", "cliente", "valor"), *_WITHOUT_DATA)
