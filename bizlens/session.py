@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # The JVM does not compile methods beyond 8,000 bytes of bytecode. Stages of many cleaning expressions are beyond it
+    # as one method; as projections of several methods they are compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
