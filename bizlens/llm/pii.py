@@ -7,11 +7,15 @@ valid value of the same format, always the same under one key: equal values stay
 values stay different. A card's check digit is computed anew; dates are day numbers of a 400-year cycle (146,097 =
 189 x 773 days, so no value falls outside).
 
-Found: e-mail addresses, IPv4 addresses, phone numbers (behind +country any number of 8 to 15
-digits with the usual separators, its national digits permuted in place; without it the North American shape), card numbers, US social security numbers,
+Found: e-mail addresses, IPv4 and IPv6 addresses (whole or with one ::; the digits of each group are permuted, so one
+address has one pseudonym in each way of writing it, upper and lower case alike), phone numbers (behind +country any number
+of 8 to 15 digits with the usual separators, its national digits permuted in place; without it the North American shape and
+the French one in pairs of digits), card numbers, IBANs (of the countries and lengths below, mod 97), US social security
+numbers, French social security numbers and Spanish DNI and NIE (by their check digits or letters, which are computed anew),
 dates (ISO, 12.03.1999, 12/03/1999, and with English, German, French or Spanish month names; one date has one pseudonym
 in all of these but the slashed form, whose order is unknown: there the numbers stay dates in the readings they had, so
-the 29th of February, and days from 29 and 31 on, stay such), access keys, and values of token/password/secret/api_key
+the 29th of February, and days from 29 and 31 on, stay such), access keys, keys known by their first letters (ghp_, sk-,
+xoxb-, ...) and bearer tokens, and values of token/password/secret/api_key
 assignments (the characters _ - . / + = inside a value stay; of a value beyond 4,096 characters the first 4,096 count).
 
 Defined results: a null text stays null with no finds; empty texts stay empty; repeated rows get the same text; an empty
@@ -83,15 +87,54 @@ BEFORE_NATIONAL = rf"^(?:\+0{{0,3}}{COUNTRY}{SEPARATOR}{{0,3}}(?:\(0\))?|1)"
 KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 SECRET = (r"(?<![A-Za-z0-9])(?i:token|password|passwd|secret|api[_-]?key)[\"']?[ ]?[=:][ ]?[\"']?"
           r"[A-Za-z0-9_./+=-]{7,4095}[A-Za-z0-9]")
-SECRET_START = r"^[^=:]*[=:][ ]?[\"']?"
+#: What keys and tokens of known services start with; it stays.
+PREFIX = r"(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk-|[rs]k_(?:live|test)_|AIza|[Bb]earer )"
+TOKEN = rf"(?<![A-Za-z0-9]){PREFIX}(?=[A-Za-z_./+~=-]{{0,63}}[0-9])[A-Za-z0-9_./+~=-]{{15,4095}}[A-Za-z0-9]"
+SECRET_START = rf"^(?:{PREFIX}|[^=:]*[=:][ ]?[\"']?{PREFIX}?)"
+#: Lengths of the IBANs of European countries.
+IBAN_LENGTHS = {"NO": 15, "BE": 16, "DK": 18, "FI": 18, "NL": 18, "SI": 19, "AT": 20, "EE": 20, "LT": 20, "LU": 20, "CH": 21,
+                "HR": 21, "LI": 21, "LV": 21, "BG": 22, "DE": 22, "GB": 22, "IE": 22, "AD": 24, "CZ": 24, "ES": 24, "RO": 24,
+                "SE": 24, "SK": 24, "PT": 25, "IS": 26, "FR": 27, "GR": 27, "IT": 27, "MC": 27, "SM": 27, "CY": 28, "HU": 28,
+                "PL": 28, "MT": 31}
+
+
+def _iban() -> str:
+    """IBANs in groups of four or without blanks."""
+    forms = []
+    for n in sorted(set(IBAN_LENGTHS.values())):
+        codes = "|".join(c for c, m in IBAN_LENGTHS.items() if m == n)
+        last = rf" [A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+        forms.append(rf"(?:{codes})[0-9]{{2}}(?:[A-Z0-9]{{{n - 4}}}|(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}{last})")
+    return rf"(?<![A-Za-z0-9])(?:{'|'.join(forms)})(?![A-Za-z0-9])"
+
+
+IBAN = _iban()
+#: Eight groups, or fewer around one double colon (_kind counts them); a digit stands in it.
+GROUP = "[0-9A-Fa-f]{1,4}"
+IPV6 = (rf"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]{{0,38}}[0-9])(?:{GROUP}(?::{GROUP}){{7}}|{GROUP}(?::{GROUP}){{0,5}}::{GROUP}"
+        rf"(?::{GROUP}){{0,5}})(?![0-9A-Za-z:]|\.[0-9A-Za-z])")
+#: The letters of Spanish identity numbers by the number modulo 23.
+DNI_LETTERS = "TRWAGMYFPDXBNJZSQVHLCKE"
+DNI = r"(?<![A-Za-z0-9-])(?:[0-9]|[XYZ]-?)[0-9]{7}-?[A-HJ-NP-TV-Z](?![A-Za-z0-9-])"
+#: French social security numbers: sex, year, month, department, commune, order, key.
+NIR = (r"(?<![0-9])[12](?: [0-9]{2} (?:0[1-9]|1[0-2]) (?:0[1-9]|[1-8][0-9]|9[0-5]) [0-9]{3} [0-9]{3} [0-9]{2}"
+       r"|[0-9]{2}(?:0[1-9]|1[0-2])(?:0[1-9]|[1-8][0-9]|9[0-5])[0-9]{6} ?[0-9]{2})(?![0-9])")
+#: French phone numbers without a country code, in pairs of digits.
+PAIRS = "|".join(rf"(?<![0-9A-Za-z+./-])0[1-9](?:{c}[0-9]{{2}}){{4}}(?![0-9]|[ ./-][0-9])" for c in (" ", r"\.", "-"))
 #: All of them; the first character is looked at before the patterns are tried.
-NO_EMAIL = "|".join((rf"(?=[APSTapst])(?:{SECRET}|{KEY})",
-                     rf"(?=[0-9+(])(?:{IP}|{PHONE}|{SSN}|{DATE}|{DOTTED}|{SLASHED}|{DAY_FIRST}|{CARD})", NAME_FIRST))
+NO_EMAIL = "|".join((rf"(?=[APSTapst])(?:{SECRET}|{KEY})", rf"(?=[ABGRXbgrsx])(?:{TOKEN})", rf"(?=[A-Z])(?:{IBAN})",
+                     rf"(?=[0-9A-Fa-f]{{1,4}}:)(?:{IPV6})", rf"(?=[0-9XYZ])(?:{DNI})",
+                     rf"(?=[0-9+(])(?:{IP}|{PHONE}|{PAIRS}|{SSN}|{DATE}|{DOTTED}|{SLASHED}|{DAY_FIRST}|{NIR}|{CARD})",
+                     NAME_FIRST))
 ANY = f"{EMAIL}|{NO_EMAIL}"
 #: Marks around finds; a text's own are escaped first. (Noncharacters: they stand in no pattern.)
 MARK, ESCAPE, MARKED = "\ufdd0", "\ufdd1", "\ufdd2"
 
-KINDS = ("email", "ip", "phone", "ssn", "date", "slash", "card", "key", "secret")
+KINDS = ("email", "ip", "ipv6", "phone", "pairs", "ssn", "nir", "dni", "iban", "date", "slash", "card", "key", "secret")
+
+
+#: Place, length, smallest value and number of values of a French number's parts.
+NIR_PARTS = ((1, 1, 1, 2), (2, 2, 0, 100), (4, 2, 1, 12), (6, 2, 1, 95), (8, 3, 0, 1000), (11, 3, 0, 1000))
 
 
 def _chars(text: Column) -> Column:
@@ -114,6 +157,30 @@ def luhn_sum(digits: Column, double_last: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add)
 
 
+def mod_97(text: Column) -> Column:
+    """Remainder modulo 97 of a number written in digits and capital letters (A is 10, Z is 35)."""
+
+    def add(rest, c):
+        code = F.ascii(c)
+        return F.when(code < 58, (rest * 10 + code - 48) % 97).otherwise((rest * 100 + code - 55) % 97)
+
+    return F.aggregate(_chars(text), F.lit(0), add)
+
+
+def _iban_rest(country_and_check: Column, account: Column) -> Column:
+    return mod_97(F.concat(account, country_and_check))
+
+
+def _dni_letter(m: Column, digits: Column) -> Column:
+    """The letter that belongs to the digits, with the first letter of a NIE as a digit before them."""
+    first = F.translate(F.regexp_extract(m, "^([XYZ]?)", 1), "XYZ", "012")
+    return F.substring(F.lit(DNI_LETTERS), (F.concat(first, digits).try_cast("int") % 23 + 1), F.lit(1))
+
+
+def _nir_key(digits: Column) -> Column:
+    return 97 - F.substring(digits, 1, 13).try_cast("long") % 97
+
+
 def _class(char: Column) -> Column:
     """(symbol, radix) of a character: digits, small and capital letters keep their class, others stay."""
     code = F.ascii(char)
@@ -181,6 +248,14 @@ def _kind(m: Column) -> Column:
     day, month, year, _ = _slashed(m)
     plain = plain.when(m.rlike(f"^(?:{SLASHED})$"), F.when(
         F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string")).try_cast("date").isNotNull(), "slash"))
+    plain = plain.when(m.rlike(f"^(?:{IBAN})$"), F.when(
+        _iban_rest(F.substring(m, 1, 4), F.substring(F.replace(m, F.lit(" "), F.lit("")), 5, 30)) == 1, "iban"))
+    groups = F.size(F.filter(F.split(m, ":"), lambda g: g != ""))
+    plain = plain.when(m.rlike(f"^(?:{IPV6})$"), F.when(~m.contains("::") | (groups < 8), "ipv6"))
+    plain = plain.when(m.rlike(f"^(?:{DNI})$"), F.when(_dni_letter(m, _digits(m)) == F.substring(m, -1, 1), "dni"))
+    plain = plain.when(m.rlike(f"^(?:{PAIRS})$"), "pairs")
+    plain = plain.when(m.rlike(f"^(?:{NIR})$") & (_nir_key(_digits(m)) == F.substring(_digits(m), 14, 2).try_cast("int")), "nir")
+    plain = plain.when(m.rlike(f"^(?:{NIR})$") & ~m.rlike(f"^(?:{CARD})$"), None)
     plain = plain.when(m.rlike("^[0-9]"), F.when(luhn_sum(_digits(m), False) % 10 == 0, "card"))
     return plain.when(m.rlike("^AKIA[0-9A-Z]{16}$"), "key").otherwise("secret")
 
@@ -192,6 +267,10 @@ def _varying(m: Column, kind: Column) -> Column:
             .when(kind == "card", 
                   F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - 1))
             .when(kind == "key", F.substring(m, 5, 16))
+            .when(kind == "iban", F.substring(F.replace(m, F.lit(" "), F.lit("")), 5, 30))
+            .when(kind == "ipv6", F.lower(m))
+            .when(kind == "dni", _digits(m))
+            .when(kind == "pairs", F.substring(_digits(m), 2, 9))
             .otherwise(F.regexp_replace(m, SECRET_START, "")))
 
 
@@ -241,7 +320,7 @@ def pseudonym(m: Column, key: str) -> Column:
 
     def by_kind(kind: Column) -> Column:
         return _bind(_varying(m, kind), lambda text: _bind(
-            (kind == "secret") & text.rlike("^[0-9a-f_./+=-]+$"), lambda hexed: of_kind(kind, text, hexed)))
+            (kind == "ipv6") | ((kind == "secret") & text.rlike("^[0-9a-f_./+=-]+$")), lambda hexed: of_kind(kind, text, hexed)))
 
     def of_kind(kind: Column, text: Column, hexed: Column) -> Column:
         numbers = F.when(kind.isin("ip", "ssn"), F.split(m, "[.-]")).cast("array<int>")
@@ -249,7 +328,8 @@ def pseudonym(m: Column, key: str) -> Column:
         day = F.datediff(_iso(m).try_cast("date"), F.lit(FIRST_DAY).cast("date"))
         # Digits of a phone number that may not take every value.
         local = (kind == "phone") & ~m.startswith("+")
-        single = (kind == "phone") & m.rlike(r"^\+[^(]*\([1-9]\)")  # a single digit in brackets; 0 is the trunk's
+        # A single digit in brackets (0 is the trunk's), and the first of the pairs.
+        single = (kind == "pairs") | ((kind == "phone") & m.rlike(r"^\+[^(]*\([1-9]\)"))
         as_chars = F.transform(_chars(text), lambda c, i: F.when(
             hexed & c.rlike("[0-9a-f]"), F.struct(F.conv(F.when(hexed, c), 16, 10).cast("int").alias("s"), F.lit(16).alias("r"))
         ).when(local & i.isin(0, 3), F.struct((F.ascii(c) - 50).alias("s"), F.lit(8).alias("r"))
@@ -274,6 +354,8 @@ def pseudonym(m: Column, key: str) -> Column:
         symbols = (F.when(kind == "ip", F.transform(numbers, lambda x: F.struct(x.alias("s"), F.lit(256).alias("r"))))
                    .when(kind == "ssn", pairs((area - F.when(area > 666, 2).otherwise(1), 898),
                                               (F.get(numbers, F.lit(1)) - 1, 99), (F.get(numbers, F.lit(2)) - 1, 9999)))
+                   .when(kind == "nir", pairs(*[(_digits(m).substr(at, n).try_cast("int") - low, radix)
+                                                for at, n, low, radix in NIR_PARTS]))
                    .when(kind == "date", pairs((F.floor(day / DATE_RADICES[1]), DATE_RADICES[0]),
                                                (day % DATE_RADICES[1], DATE_RADICES[1])))
                    .when(kind == "slash", slash)
@@ -295,10 +377,17 @@ def pseudonym(m: Column, key: str) -> Column:
                 .when(c.rlike("[A-Z]"), F.char(F.get(out, i) + 65)).otherwise(c))
             joined = F.array_join(chars, "")
             check = F.pmod(-luhn_sum(joined, True), F.lit(10)).cast("string")
-            digits = F.when(kind == "card", F.concat(joined, check)).otherwise(
+            nir = F.concat(*[F.lpad((F.get(out, F.lit(k)) + low).cast("string"), n, "0")
+                             for k, (_, n, low, _) in enumerate(NIR_PARTS)])
+            digits = F.when(kind == "card", F.concat(joined, check)).when(
+                kind == "nir", F.concat(nir, F.lpad(_nir_key(nir).cast("string"), 2, "0"))).otherwise(
                 F.concat(F.substring(_digits(m), F.lit(1), F.length(_digits(m)) - F.length(joined)), joined))
             spread = F.array_join(F.transform(_chars(m), lambda c, i: F.when(c.rlike("[0-9]"), F.substring(
                 digits, F.length(_digits(F.substring(m, F.lit(1), i))) + 1, F.lit(1))).otherwise(c)), "")
+            iban = F.concat(F.substring(m, 1, 2), F.lpad((98 - _iban_rest(F.concat(
+                F.substring(m, 1, 2), F.lit("00")), joined)).cast("string"), 2, "0"), joined)
+            grouped = F.array_join(F.transform(_chars(m), lambda c, i: F.when(c == " ", c).otherwise(F.substring(
+                iban, F.length(F.replace(F.substring(m, F.lit(1), i), F.lit(" "), F.lit(""))) + 1, F.lit(1)))), "")
             a, g, s = (F.get(out, F.lit(k)) for k in range(3))
             a = F.when(a >= 665, a + 2).otherwise(a + 1)
             return (F.when(kind == "ip", F.array_join(out.cast("array<string>"), "."))
@@ -306,7 +395,10 @@ def pseudonym(m: Column, key: str) -> Column:
                     .when(kind == "date", _written(m, F.date_add(
                         F.lit(FIRST_DAY).cast("date"), F.get(out, F.lit(0)) * DATE_RADICES[1] + F.get(out, F.lit(1)))))
                     .when(kind == "slash", _written_slashed(m, out))
-                    .when(kind.isin("phone", "card"), spread)
+                    .when(kind.isin("phone", "pairs", "card", "nir"), spread)
+                    .when(kind == "iban", grouped)
+                    .when(kind == "ipv6", F.when((m == F.upper(m)) & m.rlike("[A-F]"), F.upper(joined)).otherwise(joined))
+                    .when(kind == "dni", F.concat(F.substring(spread, F.lit(1), F.length(m) - 1), _dni_letter(m, joined)))
                     .when(kind == "email", F.concat(joined, F.regexp_extract(m, r"(\.[^.]*)$", 1)))
                     .when(kind == "key", F.concat(F.lit("AKIA"), joined))
                     .otherwise(F.concat(F.regexp_extract(m, f"({SECRET_START})", 1), joined)))
