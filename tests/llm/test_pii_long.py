@@ -9,8 +9,8 @@ from bizlens.llm import pii
 from tests.llm.test_text_rules import frame
 
 RUNS = {"labels": "b.", "letters": "a", "digits": "7", "plus": "+", "plus digits": "+1 ", "separators": "1-", "at": "a@",
-        "dots": ".", "dates": "1.2.", "brackets": "(1) ", "keys": "token=", "hyphens": "a-", "slashes": "1/", "quotes": "'\" ", "colons": "a:", "sixes": "1::",
-        "prefixes": "sk-", "ibans": "DE89 3704 ", "pairs": "01 23 ", "identities": "X-1"}
+        "dots": ".", "dates": "1.2.", "brackets": "(1) ", "keys": "token=", "hyphens": "a-", "slashes": "1/", "quotes": "'\" ",
+        "colons": "a:", "sixes": "1::", "prefixes": "sk-", "ibans": "DE89 3704 ", "pairs": "01 23 ", "identities": "X-1"}
 
 
 @pytest.mark.parametrize("size", [10_000, 200_000])
