@@ -29,6 +29,7 @@ from bizlens.plans.oracle_bindings import with_ctes
 from bizlens.plans.queries import CURRENT, MONTHLY_RANGE, register
 from bizlens.plans.warehouse import Warehouse
 from bizlens.session import shared_path
+from bizlens.sources import bindings as B
 from bizlens.sources import dirty as X
 from bizlens.sources import snapshots as SN
 from bizlens.sources.tables import read_table
@@ -117,14 +118,19 @@ def resolved_members(spark, sf_dir):
     """Dimensions and facts keyed by one resolver: no orphan in any fact, one unknown row per dimension."""
     w = Warehouse(spark, sf_dir)
 
+    def kept(df: DataFrame) -> DataFrame:  # names and members are read by several checks: made once
+        path = shared_path(spark, "members")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
     def counted(df: DataFrame, name: str) -> DataFrame:  # names are few beside lines
-        return df.groupBy(name).agg(F.count(F.lit(1)).alias("linhas"))
+        return kept(df.groupBy(name).agg(F.count(F.lit(1)).alias("linhas")))
 
     buyers, sellers = counted(w.sales_lines("cliente"), "cliente"), counted(w.sales_lines("profissional"), "profissional")
     booked = counted(w.occupancy, "profissional")
-    clients = M.resolved_members(w.clients.drop("id_cliente"), "cliente", [buyers])
-    people = M.resolved_members(w.professionals.drop("id_profissional").withColumnRenamed("nome", "profissional"),
-                                "profissional", [sellers, booked])
+    clients = kept(M.resolved_members(w.clients.drop("id_cliente"), "cliente", [buyers]))
+    people = kept(M.resolved_members(w.professionals.drop("id_profissional").withColumnRenamed("nome", "profissional"),
+                                     "profissional", [sellers, booked]))
     orphans = [QC.orphan_keys(fact, C.member_key(name), dim, "id_membro", check, weight="linhas")
                .select("checagem", F.col("chaves_orfas").alias("valor"), "linhas", "ok")
                for fact, name, dim, check in ((buyers, "cliente", clients, "vendas_clientes"),
@@ -146,14 +152,14 @@ def publish_warehouse(spark, sf_dir: str, root: str) -> None:
     # the lines' own order (their numbers repeat) as the place in a file
     place = [F.lpad(c.cast("bigint").cast("string"), 15, "0") for c in (
         F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), F.col("valor") * 100)]
-    sales = w.sales.withColumns({"_arquivo": F.concat(*place), "_linha": F.lit(0).cast("bigint")})
+    sales = B.sales_by_month(spark, sf_dir, PL.EXTRACT).withColumns({"_arquivo": F.concat(*place), "_linha": F.lit(0).cast("bigint")})
     tables = {"tbl_0186_comandas": (sales, "data"), "tbl_0387_financeiro": (w.ledger, "data_movimento"),
               "tbl_0188_bandeirascartao": (w.card_fees, "data_competencia"), "tbl_0126_ocupacao": (w.occupancy, "data_competencia"),
               "tbl_0229_profissionais": (w.professionals, None), "tbl_0002_clientes": (w.clients, None)}
     for name, (df, day) in tables.items():
         if day:
             df = df.withColumns({PL.EXTRACT: F.trunc(day, "MM"), M.MONTH_COL: F.trunc(day, "MM")})
-        SN.publish(df, f"{root}/{name}", PL.PARTITIONS if day else None)
+        SN.publish(df, f"{root}/{name}", PL.PARTITIONS if day else None, dealt=name == PL.SALES)
     FP.refresh(spark, *[f"{root}/{t}" for t in (PL.SALES, PL.MONTH_FIRST_LINES, PL.FIRST_LINES)],
                client=C.md5_key("cliente"), order=PL.SALES_ORDER)
 
