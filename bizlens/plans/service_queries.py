@@ -152,14 +152,16 @@ def publish_warehouse(spark, sf_dir: str, root: str) -> None:
     # the lines' own order (their numbers repeat) as the place in a file
     place = [F.lpad(c.cast("bigint").cast("string"), 15, "0") for c in (
         F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), F.col("valor") * 100)]
-    sales = B.sales_by_month(spark, sf_dir, PL.EXTRACT).withColumns({"_arquivo": F.concat(*place), "_linha": F.lit(0).cast("bigint")})
+    sales = [part.withColumns({"_arquivo": F.concat(*place), "_linha": F.lit(0).cast("bigint")})
+             for part in B.sales_slices(spark, sf_dir, PL.EXTRACT)]
     tables = {"tbl_0186_comandas": (sales, "data"), "tbl_0387_financeiro": (w.ledger, "data_movimento"),
               "tbl_0188_bandeirascartao": (w.card_fees, "data_competencia"), "tbl_0126_ocupacao": (w.occupancy, "data_competencia"),
               "tbl_0229_profissionais": (w.professionals, None), "tbl_0002_clientes": (w.clients, None)}
-    for name, (df, day) in tables.items():
+    for name, (made, day) in tables.items():
+        frames = made if isinstance(made, list) else [made]
         if day:
-            df = df.withColumns({PL.EXTRACT: F.trunc(day, "MM"), M.MONTH_COL: F.trunc(day, "MM")})
-        SN.publish(df, f"{root}/{name}", PL.PARTITIONS if day else None, dealt=name == PL.SALES)
+            frames = [df.withColumns({PL.EXTRACT: F.trunc(day, "MM"), M.MONTH_COL: F.trunc(day, "MM")}) for df in frames]
+        SN.publish(frames, f"{root}/{name}", PL.PARTITIONS if day else None, dealt=name == PL.SALES)
     FP.refresh(spark, *[f"{root}/{t}" for t in (PL.SALES, PL.MONTH_FIRST_LINES, PL.FIRST_LINES)],
                client=C.md5_key("cliente"), order=PL.SALES_ORDER)
 
